@@ -148,16 +148,20 @@ BODIES = {
         FROM ev""",
     "media_snapshots": """
         SELECT media_id, title, DATE '2024-01-30' AS load_date FROM media WHERE duration < 950""",
-    "daily_load": "SELECT * FROM fact WHERE received_at > TIMESTAMP '2024-01-16'",
+    "daily_load": "SELECT * FROM fact",
     "registered_tables": """
         SELECT hashed_id, title, duration, DATE '2024-01-30' AS load_date FROM media""",
     "run_audit": """
-        SELECT 'dim_media' AS step, DATE '2024-01-30' AS run_date, 'ok' AS status,
-               (SELECT count(*) FROM media) AS rows
-        UNION ALL SELECT 'fact_events', DATE '2024-01-30', 'ok',
-               (SELECT count(*) FROM ev WHERE received_at > TIMESTAMP '2024-01-16')
-        UNION ALL SELECT 'fact_media_engagement', DATE '2024-01-30', 'ok',
-               (SELECT count(*) FROM fact WHERE received_at > TIMESTAMP '2024-01-16')""",
+        SELECT step, run_date, 'ok' AS status, rows FROM (
+          SELECT 'dim_media' AS step, unnest([DATE '2024-01-16', DATE '2024-01-30']) AS run_date,
+                 count(*) AS rows FROM media
+          UNION ALL SELECT 'fact_events', DATE '2024-01-16',
+                 count(*) FILTER (WHERE received_at <= TIMESTAMP '2024-01-16') FROM ev
+          UNION ALL SELECT 'fact_events', DATE '2024-01-30',
+                 count(*) FILTER (WHERE received_at > TIMESTAMP '2024-01-16') FROM ev
+          UNION ALL SELECT 'fact_media_engagement', DATE '2024-01-16',
+                 count(*) FILTER (WHERE received_at <= TIMESTAMP '2024-01-16') FROM fact
+          UNION ALL SELECT 'fact_media_engagement', DATE '2024-01-30', count(*) FROM fact)""",
     "date_range_load": f"""{LOADED}
         WHERE received_at > TIMESTAMP '2024-01-10' AND received_at <= TIMESTAMP '2024-01-20'""",
     "ad_hoc_sql": """

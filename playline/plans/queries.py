@@ -242,15 +242,19 @@ def latest_landed_batch(spark, sf):
     return newest(named)
 
 
-def _land_events(spark, sf, root):
-    """All raw events as two recorded batches, the first half of the month and then the rest."""
+def _batches(spark, sf):
+    """All raw events as two batches: the first half of the month, then the rest."""
     events = raw_events(spark, sf, country=True)
-    folder, log = f"{root}/{EVENTS_DIR}", f"{root}/landed_batches"
     early = events.where(F.col("received_at") <= ntz(MIDDLE))
     late = events.where(F.col("received_at") > ntz(MIDDLE))
     for part, stamp_text in ((early, "20240116_000000"), (late, RUN_TS)):
-        raw = project_events(part).transform(_instants)
-        land_and_record(raw, folder, stamp_text, log, "events")
+        yield project_events(part).transform(_instants), stamp_text
+
+
+def _land_events(spark, sf, root):
+    folder, log = f"{root}/{EVENTS_DIR}", f"{root}/landed_batches"
+    for batch, stamp_text in _batches(spark, sf):
+        land_and_record(batch, folder, stamp_text, log, "events")
     return folder, log
 
 
@@ -387,19 +391,23 @@ def media_snapshots(spark, sf):
 # Whole jobs
 
 
-def _loaded(spark, sf, days=1, **options):
+def _loaded(spark, sf):
+    """Two days: land a batch of events and the media snapshot, run the daily load."""
     root = scratch_path(spark, "load")
-    _folder, log = _land_events(spark, sf, root)
-    land_and_record(raw_media(spark, sf), f"{root}/{MEDIA_DIR}", RUN_TS, log, "media")
-    for _ in range(days):
-        run_daily(spark, root, root, RUN_DATE, batches=log, **options)
-    return root
+    log = f"{root}/landed_batches"
+    for (batch, stamp_text), day in zip(_batches(spark, sf), ("2024-01-16", RUN_DATE)):
+        media = raw_media(spark, sf)
+        land_and_record(media, f"{root}/{MEDIA_DIR}", stamp_text, log, "media")
+        land_and_record(batch, f"{root}/{EVENTS_DIR}", stamp_text, log, "events")
+        run_daily(spark, root, root, day, batches=log)
+    return root, log
 
 
 @query
 def daily_load(spark, sf):
-    """Raw files to the engagement table, the run repeated on the same day."""
-    _loaded(spark, sf, days=2)
+    """Raw files to the engagement table over two days, the second day's run repeated."""
+    root, log = _loaded(spark, sf)
+    run_daily(spark, root, root, RUN_DATE, batches=log)
     return spark.table(f"{DB}.fact_media_engagement").transform(_zoneless)
 
 
@@ -414,7 +422,7 @@ def registered_tables(spark, sf):
 
 @query
 def run_audit(spark, sf):
-    root = _loaded(spark, sf)
+    root, _log = _loaded(spark, sf)
     log = spark.read.schema(schemas.AUDIT).parquet(table_path(root, "audit"))
     return log.select("step", "run_date", "status", "rows")
 

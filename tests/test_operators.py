@@ -1,0 +1,254 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from playline.functions import raw_key, run_stamp, utc_day, watch_cents, watch_time
+from playline.operators.filters import (
+    for_media,
+    received_after,
+    split_errors,
+    until_empty_page,
+    with_key,
+)
+from playline.operators.joins import engagement, lookup_stats, unmatched
+from playline.operators.lookup import lookup_join, measured_bytes
+from playline.operators.project import envelope, stamp
+from playline.operators.sets import union_all
+from playline.operators.windows import build_dim_visitor, paginate
+from playline.plans import reports
+
+EVENTS = (
+    "visitor_key STRING, event_key STRING, received_at TIMESTAMP, percent_viewed DOUBLE, "
+    "ip STRING, country STRING, media_id STRING, media_url STRING"
+)
+MEDIA = "hashed_id STRING, title STRING, duration DOUBLE"
+TEN = dt.datetime(2024, 1, 30, 10)
+
+
+def events(spark, *rows):
+    """(event_key, media_id, percent_viewed[, visitor_key, received_at, country])"""
+    full = []
+    for key, media_id, percent, *rest in rows:
+        visitor, time, country = (*rest, *("v1", TEN, "KE")[len(rest):])
+        full.append((visitor, key, time, percent, "10.0.0.1", country, media_id, None))
+    return spark.createDataFrame(full, EVENTS)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize(
+    "percent, duration, expected",
+    [(50.0, 200.0, 100.0), (33.0, 900.5, 297.17), (None, 10.0, None), (10.0, None, None),
+     (10.0, 0.0, 0.0), (1.0, 100.5, 1.01), (0.0, 5.0, 0.0)],
+)
+def test_watch_time(spark, percent, duration, expected):
+    df = spark.createDataFrame([(percent, duration)], "p DOUBLE, d DOUBLE")
+    assert df.select(watch_time(F.col("p"), F.col("d"))).first()[0] == expected
+
+
+def test_watch_cents_are_exact(spark):
+    df = spark.range(100_000).select((F.col("id") / 100).alias("s"), "id")
+    assert df.where(watch_cents(F.col("s")) != F.col("id")).isEmpty()
+
+
+def test_cutoff_is_strict_and_until_is_not(spark):
+    times = [TEN - dt.timedelta(microseconds=1), TEN, TEN + dt.timedelta(microseconds=1)]
+    df = events(spark, *[(str(i), "h1", 1.0, "v", t) for i, t in enumerate(times)])
+    assert [r.event_key for r in received_after(df, TEN).collect()] == ["2"]
+    assert [r.event_key for r in received_after(df, times[0], TEN).collect()] == ["1"]
+
+
+def test_default_cutoff_is_midnight_utc(spark):
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    midnight = now.replace(hour=0, minute=0, second=0, microsecond=0)
+    second = dt.timedelta(seconds=1)
+    df = events(spark, ("old", "h1", 1.0, "v", midnight - second), ("at", "h1", 1.0, "v", midnight),
+                ("new", "h1", 1.0, "v", midnight + second))
+    assert [r.event_key for r in received_after(df).collect()] == ["new"]
+
+
+def test_allowlist_as_list_and_as_table(spark):
+    df = events(spark, ("a", "h1", 1.0), ("b", "h2", 1.0), ("c", None, 1.0))
+    allowed = spark.createDataFrame([("h2",), ("h2",), ("h9",), (None,)], "media_id STRING")
+    assert [r.event_key for r in for_media(df, ["h2", "h9"]).collect()] == ["b"]
+    assert [r.event_key for r in for_media(df, allowed).collect()] == ["b"]
+
+
+def test_media_without_key(spark):
+    df = spark.createDataFrame([("h1",), ("",), (None,)], "hashed_id STRING")
+    assert rows(with_key(df)) == [("h1",)]
+
+
+def test_engagement_rows(spark):
+    ev = events(spark, ("a", "h1", 50.0), ("b", "hx", 50.0), ("c", None, 50.0), ("d", "", 50.0),
+                ("e", "h2", None), ("f", "h3", 10.0))
+    dim = spark.createDataFrame(
+        [("h1", "One", 100.0), ("h2", "Two", 100.0), ("h3", "Three", None), (None, "Nil", 1.0)],
+        MEDIA)
+    fact = engagement(ev, dim, "2024-01-30")
+    assert fact.columns == ["media_id", "percent_viewed", "visitor_key", "event_key",
+                            "received_at", "title", "duration", "watch_time_seconds", "load_date"]
+    assert rows(fact.select("event_key", "title", "watch_time_seconds", "load_date")) == [
+        ("a", "One", 50.0, dt.date(2024, 1, 30)), ("e", "Two", None, dt.date(2024, 1, 30)),
+        ("f", "Three", None, dt.date(2024, 1, 30))]
+    assert [r[0] for r in rows(unmatched(ev, dim).select("event_key"))] == ["b", "c", "d"]
+
+
+def test_repeated_hashed_id_fans_out(spark):
+    dim = spark.createDataFrame([("h1", "One", 100.0), ("h1", "Uno", 200.0)], MEDIA)
+    fact = engagement(events(spark, ("a", "h1", 50.0)), dim, "2024-01-30")
+    assert rows(fact.select("title", "watch_time_seconds")) == [("One", 50.0), ("Uno", 100.0)]
+
+
+def test_lookup_errors_and_envelopes(spark):
+    media = spark.createDataFrame([("h1",), ("h2",), ("h1",)], "hashed_id STRING")
+    stats = spark.createDataFrame([("h1", '{"plays":3}'), ("h9", "{}")], "media_id STRING, engagement STRING")
+    found = lookup_stats(media, stats)
+    assert rows(found) == [("h1", '{"plays":3}', None), ("h1", '{"plays":3}', None),
+                           ("h2", None, "no statistics for media h2")]
+    good, errors = split_errors(envelope(found))
+    assert rows(good) == [("h1", '{"plays":3}')] * 2
+    assert rows(errors.select("media_id", "error")) == [("h2", "no statistics for media h2")]
+
+
+def test_union_keeps_copies(spark):
+    a = spark.createDataFrame([("x", 1)], "k STRING, n INT")
+    b = spark.createDataFrame([(1, "x"), (2, "y")], "n INT, k STRING")
+    assert rows(union_all(a, b, b)) == [("x", 1)] * 3 + [("y", 2)] * 2
+
+
+def test_stamp(spark):
+    df = stamp(spark.range(1), "2024-01-30")
+    assert df.first().load_date == dt.date(2024, 1, 30)
+    assert stamp(spark.range(1)).first().load_date == spark.sql("SELECT current_date()").first()[0]
+
+
+def test_key_and_stamp_text(spark):
+    at = F.lit("2024-01-30 23:50:01").cast("timestamp")
+    row = spark.range(1).select(raw_key("events", "player_events", run_stamp(at)), utc_day(at)).first()
+    assert tuple(row) == ("raw_data/events/player_events_20240130_235001.json", dt.datetime(2024, 1, 30))
+
+
+def test_dim_visitor(spark):
+    later = TEN + dt.timedelta(hours=1)
+    df = events(spark, ("a", "h1", 1.0, "v1", TEN, "KE"), ("b", "h1", 1.0, "v1", later, "TZ"),
+                ("c", "h1", 1.0, "v1", later, None), ("d", "h1", 1.0, "v2", TEN, "UG"),
+                ("e", "h1", 1.0, None, TEN, "UG"))
+    assert rows(build_dim_visitor(df)) == [("v1", "c", "10.0.0.1", None), ("v2", "d", "10.0.0.1", "UG")]
+
+
+# Joins to a lookup: the same rows by every way, with hot keys, null keys and repeated keys.
+
+
+def skewed(spark):
+    """9,000 facts: a third for one key, a third without a key, the rest over 500 keys."""
+    facts = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 2, F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
+        F.col("id").alias("n"))
+    names = [("hot", "hot name"), ("hot", "again")] + [(f"k{i}", f"name {i}" * 20) for i in range(0, 500, 2)] + [(None, "nil")]
+    return facts, spark.createDataFrame(names, "k STRING, name STRING")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("limit, hot_rows", [(10**9, 10**9), (2000, 1000), (2000, 10**9), (0, 1000)])
+def test_lookup_join_ways_agree(spark, settings, how, limit, hot_rows):
+    settings(playline__lookup__broadcastBytes=limit, playline__lookup__hotRows=hot_rows,
+             spark__sql__autoBroadcastJoinThreshold=-1)
+    facts, lookup = skewed(spark)
+    expected = facts.join(lookup, ["k"], how)
+    columns = expected.columns
+    assert rows(lookup_join(facts, lookup, ["k"], how).select(*columns)) == rows(expected)
+
+
+def test_lookup_join_on_two_columns(spark, settings):
+    settings(playline__lookup__broadcastBytes=2000, playline__lookup__hotRows=500)
+    facts, lookup = skewed(spark)
+    facts, lookup = facts.withColumn("b", F.col("n") % 2), lookup.crossJoin(spark.createDataFrame([(0,), (1,)], "b BIGINT"))
+    assert rows(lookup_join(facts, lookup, ["k", "b"])) == rows(facts.join(lookup, ["k", "b"]).select("k", "n", "b", "name"))
+
+
+def test_measured_bytes(spark):
+    small = spark.createDataFrame([("a", 1.0)] * 10, "k STRING, d DOUBLE")
+    long = spark.createDataFrame([("a" * 1000, 1.0)] * 10, "k STRING, d DOUBLE")
+    assert measured_bytes(long) - measured_bytes(small) == 9990
+    assert measured_bytes(small.limit(0)) == 0
+
+
+# Pages
+
+
+def numbered(df, by, order, per_page):
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.withColumn("page", (F.floor((place - 1) / per_page) + 1).cast("bigint"))
+
+
+@pytest.mark.parametrize("per_page", [1, 7, 100])
+def test_paginate_equals_row_number(spark, settings, per_page):
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 40)).alias("source"),
+        F.col("id").cast("string").alias("event_key"))
+    order = [F.md5("event_key")]
+    assert rows(paginate(df, ["source"], order, per_page)) == rows(numbered(df, ["source"], order, per_page))
+
+
+def test_paginate_descending(spark):
+    df = spark.range(500).select(F.lit("s").alias("source"), "id")
+    order = [F.col("id").desc()]
+    assert rows(paginate(df, ["source"], order, 100)) == rows(numbered(df, ["source"], order, 100))
+
+
+def test_paginate_copies_fill_pages(spark):
+    """A source made of equal rows: pages of the right sizes, none lost."""
+    df = spark.range(2050).select(F.lit("s").alias("source"), F.lit("same").alias("event_key"))
+    sizes = paginate(df, ["source"], ["event_key"], 100).groupBy("page").count()
+    assert rows(sizes) == sorted([(p, 100) for p in range(1, 21)] + [(21, 50)], key=repr)
+
+
+def stop_by_hand(pages):
+    """Walk the pages as a client would: until the first page with no hit."""
+    kept, sources = [], sorted({s for s, *_ in pages})
+    for source in sources:
+        for page in sorted({p for s, p, _, _ in pages if s == source}):
+            hits = [r for r in pages if r[0] == source and r[1] == page and r[3]]
+            if not hits:
+                break
+            kept += hits
+    return sorted(kept, key=repr)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_until_empty_page_against_a_walk(spark, seed):
+    rng = random.Random(seed)
+    pages = [(f"s{s}", p, f"{s}-{p}-{i}", rng.random() < 0.25) for s in range(12) for p in range(1, 9) for i in range(5)]
+    pages += [("all", p, f"all-{p}", True) for p in range(1, 5)] + [("none", 1, "none", False)]
+    df = spark.createDataFrame(pages, "source STRING, page INT, k STRING, fresh BOOLEAN")
+    assert rows(until_empty_page(df, F.col("fresh"), ["source"])) == stop_by_hand(pages)
+
+
+def test_null_predicate_is_no_hit(spark):
+    df = spark.createDataFrame([("s", 1, True), ("s", 2, None), ("s", 3, True)], "source STRING, page INT, fresh BOOLEAN")
+    assert rows(until_empty_page(df, F.col("fresh"), ["source"])) == [("s", 1, True)]
+
+
+# Reports
+
+
+def test_reports(spark):
+    next_day = TEN + dt.timedelta(days=1)
+    ev = events(spark, ("a", "h1", 50.0, "v1", TEN, "KE"), ("b", "h1", 25.0, "v2", TEN, "TZ"),
+                ("c", "h1", None, "v1", next_day, "KE"), ("d", "h2", 10.0, "v1", next_day, None))
+    dim = spark.createDataFrame([("h1", "One", 100.0), ("h2", "Two", 33.3)], MEDIA)
+    fact = engagement(ev, dim, "2024-01-30")
+    assert rows(reports.by_media(fact)) == [("h1", "One", 3, 2, 75.0, 37.5), ("h2", "Two", 1, 1, 3.33, 10.0)]
+    assert rows(reports.by_media(fact, approx=True)) == rows(reports.by_media(fact))
+    assert rows(reports.by_country(ev, dim)) == sorted(
+        [("KE", 2, 1, 50.0, 50.0), ("TZ", 1, 1, 25.0, 25.0), (None, 1, 1, 3.33, 10.0)], key=repr)
+    assert rows(reports.by_visitor(fact)) == [("v1", 3, 2, 53.33, 30.0), ("v2", 1, 1, 25.0, 25.0)]
+    assert rows(reports.daily(fact)) == [(TEN.date(), 2, 2, 75.0), (next_day.date(), 2, 1, 3.33)]
+    assert reports.interactions(ev, dim).count() == 4
