@@ -19,29 +19,39 @@ MIDDLE = "2024-01-16 00:00:00"
 MEDIA_SPREAD = 2500
 
 
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def hashed(number: Column) -> Column:
-    return F.substring(F.md5(number.cast("string")), 1, 10)
+def hashed(number: str) -> str:
+    """SQL expression of the hashed id of a media number."""
+    return f"substring(md5(CAST({number} AS STRING)), 1, 10)"
 
 
 def raw_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    url = F.concat(F.lit("https://cdn.example.com/"), key.cast("string"), F.lit(".jpg"))
-    return table(spark, sf_dir, "part").select(
-        key.alias("id"),
-        F.col("p_name").alias("name"),
-        F.struct(url.alias("url")).alias("thumbnail"),
-        F.col("p_retailprice").alias("duration"),
-        F.lit(None).cast("timestamp").alias("created"),
-        F.lit(None).cast("timestamp").alias("updated"),
-        hashed(key).alias("hashed_id"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS id",
+        "p_name AS name",
+        "named_struct('url', 'https://cdn.example.com/' || p_partkey || '.jpg') AS thumbnail",
+        "p_retailprice AS duration",
+        "CAST(NULL AS TIMESTAMP) AS created",
+        "CAST(NULL AS TIMESTAMP) AS updated",
+        f"{hashed('p_partkey')} AS hashed_id",
     )
 
 
@@ -50,40 +60,32 @@ def raw_events(spark: SparkSession, sf_dir: str, country: bool = False) -> DataF
     events = table(spark, sf_dir, "events")
     if country:
         # nation is a fixed list of countries.
-        nation = table(spark, sf_dir, "nation").select(
-            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")
-        )
-        homes = (
-            table(spark, sf_dir, "customer")
-            .join(nation, "c_nationkey", "left")
-            .select(F.col("c_custkey").alias("user_id"), "country")
+        nation = table(spark, sf_dir, "nation").selectExpr(
+            "n_nationkey AS c_nationkey", "n_name AS country"
         )
+        customer = table(spark, sf_dir, "customer").join(nation, "c_nationkey", "left")
+        homes = customer.selectExpr("c_custkey AS user_id", "country")
         events = lookup_join(events, homes, ["user_id"], "left")
-    else:
-        events = events.withColumn("country", F.lit(None).cast("string"))
-    media = F.col("event_id") % MEDIA_SPREAD
-    user = F.col("user_id")
-    url = F.concat(F.lit("https://media.example.com/"), media.cast("string"))
-    return events.select(
-        user.cast("string").alias("visitor_key"),
-        F.col("event_id").cast("string").alias("event_key"),
-        F.col("ts").alias("received_at"),
-        F.get_json_object("props", "$.k").cast("double").alias("percent_viewed"),
-        F.concat(F.lit("10.0.0."), (user % 256).cast("string")).alias("ip"),
-        "country",
-        hashed(media).alias("media_id"),
-        url.alias("media_url"),
-        F.col("event_type").alias("source"),
+    media = f"event_id % {MEDIA_SPREAD}"
+    return events.selectExpr(
+        "CAST(user_id AS STRING) AS visitor_key",
+        "CAST(event_id AS STRING) AS event_key",
+        "ts AS received_at",
+        "CAST(get_json_object(props, '$.k') AS DOUBLE) AS percent_viewed",
+        "'10.0.0.' || user_id % 256 AS ip",
+        "country" if country else "CAST(NULL AS STRING) AS country",
+        f"{hashed(media)} AS media_id",
+        f"'https://media.example.com/' || {media} AS media_url",
+        "event_type AS source",
     )
 
 
 def media_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Media of which the small ones have an empty hashed_id and the large ones none."""
-    size = F.col("p_size")
-    key = hashed(F.col("p_partkey"))
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("media_id"),
-        F.when(size < 6, F.lit("")).when(size <= 45, key).alias("hashed_id"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS media_id",
+        f"CASE WHEN p_size < 6 THEN '' WHEN p_size <= 45 THEN {hashed('p_partkey')} END"
+        " AS hashed_id",
     )
 
 

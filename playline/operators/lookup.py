@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playline.session import stage
 
-# A lookup up to this measured size is broadcast; the session setting overrides it.
+# All three can be set in the session.
+# A lookup that the plan estimates at no more than this is left to Spark, without a measurement.
+TINY_BYTES = ("playline.lookup.tinyBytes", 1024 * 1024)
+# A lookup up to this measured size is broadcast.
 BROADCAST_BYTES = ("playline.lookup.broadcastBytes", 64 * 1024 * 1024)
 # A key with at least this many rows counts as hot. It bounds both the rows one join task gets
 # for a key and the number of hot keys (rows of the table / HOT_ROWS).
@@ -20,27 +25,42 @@ def _setting(df: DataFrame, setting: tuple[str, int]) -> int:
     return int(df.sparkSession.conf.get(key, str(default)))
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows in memory, from the data itself (Parquet file sizes are compressed)."""
+def estimated_bytes(df: DataFrame) -> float:
+    """What the planner expects, from file sizes; runs no job."""
+    text = df.sparkSession.sql("EXPLAIN COST SELECT * FROM {df}", df=df).first()[0]
+    size, unit = re.search(r"sizeInBytes=([\d.E+]+) ([KMGTPE]?)i?B", text).groups()
+    return float(size) * 1024 ** " KMGTPE".index(unit or " ")
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Aggregate: size of the rows in memory, from the data itself."""
     width = F.lit(16)
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.NumericType | T.DatetimeType | T.BooleanType):
-            width = width + F.lit(8)
-        else:
+        width = width + F.lit(8)
+        if not isinstance(field.dataType, T.NumericType | T.DatetimeType | T.BooleanType):
             text = F.col(f"`{field.name}`").cast("string")
-            width = width + F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(8)
-    return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+            width = width + F.coalesce(F.octet_length(text), F.lit(0))
+    return F.coalesce(F.sum(width.cast("bigint")), F.lit(0))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    return df.agg(row_bytes(df)).first()[0]
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    return _setting(df, BROADCAST_BYTES)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    return measured_bytes(df) <= _setting(df, BROADCAST_BYTES)
+    return measured_bytes(df) <= broadcast_limit(df)
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join ``facts`` to ``lookup`` on equally named columns; ``how`` is inner, left,
     left_semi or left_anti.
 
-    * A lookup that measures small is broadcast: the facts are not shuffled, so no key can be hot.
+    * A tiny lookup is Spark's to broadcast.
+    * One that measures small is broadcast: the facts are not shuffled, so no key can be hot.
     * Otherwise the facts are shuffled, but for hot keys: few by construction, so their lookup
       rows are broadcast (measured again) and their facts stay where they are.
     """
@@ -49,6 +69,8 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "
     columns = facts.columns + [c for c in lookup.columns if c not in on]
     if how in ("left_semi", "left_anti"):
         columns = facts.columns
+    if estimated_bytes(lookup) <= _setting(facts, TINY_BYTES):
+        return facts.join(lookup, on, how).select(*columns)
     if fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), on, how).select(*columns)
 

@@ -150,7 +150,7 @@ def run_daily(
             rows[name] = step()
             refresh(spark, out_root, name, db)
         except Exception:
-            audit(spark, log, name, day, None, "failed")
+            audit(spark, name, day, None, log, "failed")
             raise
-        audit(spark, log, name, day, rows[name], "skipped" if rows[name] is None else "ok")
+        audit(spark, name, day, rows[name], log, "skipped" if rows[name] is None else "ok")
     return rows

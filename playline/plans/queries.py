@@ -14,6 +14,7 @@ from playline.bindings import (
     MIDDLE,
     RUN_DATE,
     RUN_TS,
+    hashed,
     media_with_gaps,
     ntz,
     pages,
@@ -21,7 +22,6 @@ from playline.bindings import (
     raw_media,
     stats,
     table,
-    hashed,
 )
 from playline.functions import raw_key, run_stamp
 from playline.operators.filters import (
@@ -138,7 +138,7 @@ def events_for_media(spark, sf):
 def events_for_listed_media(spark, sf):
     """The allowlist as a table: media of one brand."""
     part = table(spark, sf, "part").where(F.col("p_brand") == "Brand#10")
-    allowed = part.select(hashed(F.col("p_partkey")).alias("media_id"))
+    allowed = part.selectExpr(f"{hashed('p_partkey')} AS media_id")
     return for_media(raw_events(spark, sf).select("event_key", "media_id", "received_at"), allowed)
 
 

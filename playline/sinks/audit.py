@@ -9,10 +9,10 @@ from playline import schemas
 
 def audit(
     spark: SparkSession,
-    path: str,
     step: str,
     run_date: dt.date,
     rows: int | None,
+    path: str,
     status: str = "ok",
 ) -> None:
     """Append one row per step: rows written, and ok, skipped or failed."""

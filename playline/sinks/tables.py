@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playline.operators.lookup import fits_broadcast
+from playline.operators.lookup import broadcast_limit, row_bytes
 from playline.schemas import JSON_TIME
 
 PARTITION = "load_date"
@@ -62,15 +62,22 @@ def append_new(
     The stored keys are read once and, while the batch's keys fit a broadcast, not shuffled.
     One writer at a time: plain Parquet has no transactions.
     """
-    spark = df.sparkSession
     batch = _one_per_key(df, key).persist()
     hits = None
     try:
-        table = read_table(spark, path, df.schema)
+        keyless = F.lit(False) if key is None else F.col(key).isNull()
+        rows, size, loose = batch.agg(
+            F.count(F.lit(1)), row_bytes(batch.select("_id")), F.count_if(keyless)
+        ).first()
+        if not rows:
+            return 0
+        table = read_table(df.sparkSession, path, df.schema)
         if since is not None:
             table = table.where(F.col(PARTITION) >= F.lit(since))
-        hits = _known(table, batch, key).persist()
-        return write_append(batch.join(hits, "_id", "left_anti").drop("_id"), path)
+        hits = _known(_stored_ids(table, key, loose > 0), batch.select("_id"), size).persist()
+        if hits.count() == rows:
+            return 0
+        return _write(batch.join(hits, "_id", "left_anti").drop("_id"), path, "append")
     finally:
         batch.unpersist()
         if hits is not None:
@@ -96,18 +103,19 @@ def _one_per_key(df: DataFrame, key: str | None) -> DataFrame:
     )
 
 
-def _known(table: DataFrame, batch: DataFrame, key: str | None) -> DataFrame:
-    """The batch's ids that the table already holds."""
+def _stored_ids(table: DataFrame, key: str | None, loose: bool) -> DataFrame:
+    """Ids of the table's rows: the key column alone where there is a key. Whole rows are read
+    only if the batch has rows without a key, and then only those without one (Parquet skips row
+    groups that have no nulls)."""
+    whole = _identity(table.columns, key).alias("_id")
     if key is None:
-        stored = table.select(_identity(table.columns, None).alias("_id"))
-    else:
-        # The key column alone for rows that have one; the whole row only where there is none,
-        # and that scan only if the batch has such rows (Parquet skips row groups without nulls).
-        stored = table.where(F.col(key).isNotNull()).select(F.col(key).alias("_id"))
-        if not batch.where(F.col(key).isNull()).isEmpty():
-            loose = table.where(F.col(key).isNull())
-            stored = stored.unionByName(loose.select(_identity(table.columns, key).alias("_id")))
-    ids = batch.select("_id")
-    if fits_broadcast(ids):
+        return table.select(whole)
+    ids = table.where(F.col(key).isNotNull()).select(F.col(key).alias("_id"))
+    return ids.unionByName(table.where(F.col(key).isNull()).select(whole)) if loose else ids
+
+
+def _known(stored: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """The batch's ids that are stored already."""
+    if size <= broadcast_limit(stored):
         return stored.join(F.broadcast(ids), "_id", "left_semi").distinct()
     return stored.distinct().join(ids, "_id", "left_semi")

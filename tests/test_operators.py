@@ -14,7 +14,7 @@ from playline.operators.filters import (
     with_key,
 )
 from playline.operators.joins import engagement, lookup_stats, unmatched
-from playline.operators.lookup import lookup_join, measured_bytes
+from playline.operators.lookup import estimated_bytes, lookup_join, measured_bytes
 from playline.operators.project import envelope, stamp
 from playline.operators.sets import union_all
 from playline.operators.windows import build_dim_visitor, paginate
@@ -157,7 +157,7 @@ def skewed(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("limit, hot_rows", [(10**9, 10**9), (2000, 1000), (2000, 10**9), (0, 1000)])
 def test_lookup_join_ways_agree(spark, settings, how, limit, hot_rows):
-    settings(playline__lookup__broadcastBytes=limit, playline__lookup__hotRows=hot_rows,
+    settings(playline__lookup__tinyBytes=0, playline__lookup__broadcastBytes=limit, playline__lookup__hotRows=hot_rows,
              spark__sql__autoBroadcastJoinThreshold=-1)
     facts, lookup = skewed(spark)
     expected = facts.join(lookup, ["k"], how)
@@ -166,12 +166,21 @@ def test_lookup_join_ways_agree(spark, settings, how, limit, hot_rows):
 
 
 def test_lookup_join_on_two_columns(spark, settings):
-    settings(playline__lookup__broadcastBytes=2000, playline__lookup__hotRows=500)
+    settings(playline__lookup__tinyBytes=0, playline__lookup__broadcastBytes=2000, playline__lookup__hotRows=500)
     facts, lookup = skewed(spark)
     facts, lookup = facts.withColumn("b", F.col("n") % 2), lookup.crossJoin(spark.createDataFrame([(0,), (1,)], "b BIGINT"))
     assert rows(lookup_join(facts, lookup, ["k", "b"])) == rows(facts.join(lookup, ["k", "b"]).select("k", "n", "b", "name"))
 
 
+def test_tiny_lookup_is_not_measured(spark):
+    facts, _ = skewed(spark)
+    lookup = spark.range(0, 500, 2).select(F.concat(F.lit("k"), F.col("id")).alias("k"), "id")
+    assert estimated_bytes(lookup) < 2**20
+    assert estimated_bytes(spark.range(10**9)) == pytest.approx(8e9, rel=0.1)
+    joined = lookup_join(facts, lookup, ["k"])
+    assert rows(joined) == rows(facts.join(lookup, ["k"]))
+
+
 def test_measured_bytes(spark):
     small = spark.createDataFrame([("a", 1.0)] * 10, "k STRING, d DOUBLE")
     long = spark.createDataFrame([("a" * 1000, 1.0)] * 10, "k STRING, d DOUBLE")

@@ -24,14 +24,14 @@ def test_small_dimension_is_broadcast_and_events_are_not_shuffled(spark):
 
 
 def test_large_dimension_is_never_broadcast(spark, settings):
-    settings(playline__lookup__broadcastBytes=0, spark__sql__autoBroadcastJoinThreshold=-1)
+    settings(playline__lookup__tinyBytes=0, playline__lookup__broadcastBytes=0, spark__sql__autoBroadcastJoinThreshold=-1)
     text = plan(fact(spark))
     assert "Broadcast" not in text and "SortMergeJoin" in text
 
 
 def test_hot_media_stay_out_of_the_shuffle(spark, settings):
     """Hot facts join a broadcast of their few lookup rows, the rest is shuffled."""
-    settings(playline__lookup__broadcastBytes=4000, playline__lookup__hotRows=200)
+    settings(playline__lookup__tinyBytes=0, playline__lookup__broadcastBytes=4000, playline__lookup__hotRows=200)
     facts = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit("h1")).otherwise(F.concat(F.lit("h"), F.col("id"))).alias("media_id"),
         F.lit(1.0).alias("percent_viewed"), F.lit("v").alias("visitor_key"),
