@@ -10,7 +10,11 @@ PER_PAGE = 100
 
 
 def paginate(
-    df: DataFrame, by: list[str], order: list[str | Column], per_page: int = PER_PAGE
+    df: DataFrame,
+    by: list[str],
+    order: list[str | Column],
+    per_page: int = PER_PAGE,
+    descending: bool = False,
 ) -> DataFrame:
     """Number the pages of each source, ``per_page`` rows a page, in the given order.
 
@@ -20,15 +24,20 @@ def paginate(
     partitions. Equal rows are spread too, by the running id that ends the sort key.
     """
     columns = df.columns
-    sort_key = [*by, *order, "_tie", "_seq"]
+    # Computed once as columns: a sort would compute an expression again at every comparison.
+    keys = {f"_order{i}": F.col(k) if isinstance(k, str) else k for i, k in enumerate(order)}
+    extra = [*keys, "_tie", "_seq"]
+    ordered = [F.col(k).desc() if descending else F.col(k).asc() for k in keys]
+    sort_key = [*[F.col(c).asc() for c in by], *ordered, F.col("_tie").asc(), F.col("_seq").asc()]
     placed = (
-        df.withColumn("_tie", F.xxhash64(*columns))
-        .withColumn("_seq", F.monotonically_increasing_id())
+        df.withColumns(
+            {**keys, "_tie": F.xxhash64(*columns), "_seq": F.monotonically_increasing_id()}
+        )
         .repartitionByRange(*sort_key)
         .sortWithinPartitions(*sort_key)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
-        .drop("_tie", "_seq")
+        .drop(*extra)
     )
     # Partition and position hold for this one run of the sort only, so keep its result.
     placed = stage(placed, "pages")

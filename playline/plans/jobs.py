@@ -55,7 +55,7 @@ def build_dim_media(
 def store_events(events: DataFrame, out_root: str, run_date=None, keyed: bool = True) -> int:
     """Typed raw events to fact_events; those without a time go to rejected_events."""
     day = as_date(run_date)
-    events = events.persist()  # parsed once for the rejects and the fact
+    events = events.persist()  # parsed once; read several times, mostly for single columns
     try:
         good, rejects = reject_bad_time(events)
         rejects = rejects.select(*EVENT_FIELDS, CORRUPT).transform(stamp, day)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playline.operators.lookup import broadcast_limit, row_bytes
+from playline.operators.lookup import broadcast_limit
 from playline.schemas import JSON_TIME
 
 PARTITION = "load_date"
@@ -59,47 +59,53 @@ def append_new(
     is None, are identified by their whole content. ``since`` limits the search for known keys
     to that load date and later ones, for callers who know that older runs cannot return.
 
-    The stored keys are read once and, while the batch's keys fit a broadcast, not shuffled.
+    The stored keys are read once and, while the batch's keys fit a broadcast, not shuffled. The
+    batch is read three times, twice for its key only: persist it if it is costly to compute.
     One writer at a time: plain Parquet has no transactions.
     """
-    batch = _one_per_key(df, key).persist()
-    hits = None
+    rows, size, loose = df.agg(F.count(F.lit(1)), *_id_size(df, key)).first()
+    if not rows:
+        return 0
+    batch = df.withColumn("_id", _identity(df.columns, key) if loose else F.col(key))
+    table = read_table(df.sparkSession, path, df.schema)
+    if since is not None:
+        table = table.where(F.col(PARTITION) >= F.lit(since))
+    hits = _known(_stored_ids(table, key, loose > 0), batch.select("_id"), size).persist()
     try:
-        keyless = F.lit(False) if key is None else F.col(key).isNull()
-        rows, size, loose = batch.agg(
-            F.count(F.lit(1)), row_bytes(batch.select("_id")), F.count_if(keyless)
-        ).first()
-        if not rows:
-            return 0
-        table = read_table(df.sparkSession, path, df.schema)
-        if since is not None:
-            table = table.where(F.col(PARTITION) >= F.lit(since))
-        hits = _known(_stored_ids(table, key, loose > 0), batch.select("_id"), size).persist()
-        if hits.count() == rows:
-            return 0
-        return _write(batch.join(hits, "_id", "left_anti").drop("_id"), path, "append")
+        fresh = _one_per_id(batch)
+        if hits.count():
+            fresh = fresh.join(hits, "_id", "left_anti")
+        return _write(fresh.drop("_id"), path, "append")
     finally:
-        batch.unpersist()
-        if hits is not None:
-            hits.unpersist()
+        hits.unpersist()
 
 
-def _identity(columns: list[str], key: str | None):
+def _id_size(df: DataFrame, key: str | None) -> tuple[Column, Column]:
+    """Aggregates: size of the ids in memory, and rows that have no key."""
+    digest = 68  # length of the id of a row without a key
+    if key is None:
+        return F.count(F.lit(1)) * (digest + 24), F.count(F.lit(1))
+    length = F.coalesce(F.octet_length(key), F.lit(digest)) + 24
+    return F.sum(length.cast("bigint")), F.count_if(F.col(key).isNull())
+
+
+def _identity(columns: list[str], key: str | None) -> Column:
     fields = F.struct(*[c for c in columns if c != PARTITION])
     content = F.to_json(fields, {"timestampFormat": JSON_TIME})
     digest = F.concat(F.lit("row:"), F.sha2(content, 256))
     return digest if key is None else F.coalesce(F.col(key), digest)
 
 
-def _one_per_key(df: DataFrame, key: str | None) -> DataFrame:
-    """One row per key with its ``_id``. The least row by (received_at, then all columns) wins, so
-    the choice does not depend on row order; tasks reduce copies before the shuffle."""
-    first = ["received_at"] if "received_at" in df.columns else []
-    ordered = first + [c for c in df.columns if c not in first]
+def _one_per_id(batch: DataFrame) -> DataFrame:
+    """One row per ``_id``. The least row by (received_at, then all columns) wins, so the choice
+    does not depend on row order; tasks reduce copies before the shuffle."""
+    columns = [c for c in batch.columns if c != "_id"]
+    first = ["received_at"] if "received_at" in columns else []
+    ordered = first + [c for c in columns if c not in first]
     return (
-        df.groupBy(_identity(df.columns, key).alias("_id"))
+        batch.groupBy("_id")
         .agg(F.min(F.struct(*ordered)).alias("_row"))
-        .select("_id", *[F.col(f"_row.{c}").alias(c) for c in df.columns])
+        .select("_id", *[F.col(f"_row.{c}").alias(c) for c in columns])
     )
 
 
@@ -115,7 +121,7 @@ def _stored_ids(table: DataFrame, key: str | None, loose: bool) -> DataFrame:
 
 
 def _known(stored: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """The batch's ids that are stored already."""
-    if size <= broadcast_limit(stored):
+    """The batch's ids that are stored already. ``size`` is measured and bounds the broadcast."""
+    if size <= broadcast_limit(ids):
         return stored.join(F.broadcast(ids), "_id", "left_semi").distinct()
-    return stored.distinct().join(ids, "_id", "left_semi")
+    return stored.distinct().join(ids.distinct(), "_id", "left_semi")

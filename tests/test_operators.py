@@ -208,8 +208,8 @@ def test_paginate_equals_row_number(spark, settings, per_page):
 
 def test_paginate_descending(spark):
     df = spark.range(500).select(F.lit("s").alias("source"), "id")
-    order = [F.col("id").desc()]
-    assert rows(paginate(df, ["source"], order, 100)) == rows(numbered(df, ["source"], order, 100))
+    expected = rows(numbered(df, ["source"], [F.col("id").desc()], 100))
+    assert rows(paginate(df, ["source"], ["id"], 100, descending=True)) == expected
 
 
 def test_paginate_copies_fill_pages(spark):
