@@ -61,7 +61,7 @@ def until_empty_page(pages: DataFrame, pred: Column, by: list[str]) -> DataFrame
         .agg(F.min("page").alias("_stop"))
     )
     return (
-        lookup_join(pages.where(pred), stops, by, "left")
+        lookup_join(pages.where(pred), stops, by, "left", computed=True)
         .where(F.col("_stop").isNull() | (F.col("page") < F.col("_stop")))
         .drop("_stop")
     )

@@ -51,10 +51,15 @@ def fits_broadcast(df: DataFrame) -> bool:
     return measured_bytes(df) <= broadcast_limit(df)
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", computed: bool = False
+) -> DataFrame:
     """Join ``facts`` to ``lookup`` on equally named columns; ``how`` is inner, left,
     left_semi or left_anti.
 
+    ``computed`` says that the lookup is the result of an aggregation and not just read: unless
+    it is tiny, it is then computed once, for both the measurement and the join.
+
     * A tiny lookup is Spark's to broadcast.
     * One that measures small is broadcast: the facts are not shuffled, so no key can be hot.
     * Otherwise the facts are shuffled, but for hot keys: few by construction, so their lookup
@@ -67,6 +72,8 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "
         columns = facts.columns
     if estimated_bytes(lookup) <= _setting(facts, TINY_BYTES):
         return facts.join(lookup, on, how).select(*columns)
+    if computed:
+        lookup = stage(lookup, "lookup")
     if fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), on, how).select(*columns)
 

@@ -52,7 +52,7 @@ def paginate(
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
     page = F.floor((F.col("_pos") + F.col("_shift")) / F.lit(per_page)) + 1
-    return lookup_join(placed, shifts, [*by, "_part"], "left").select(
+    return lookup_join(placed, shifts, [*by, "_part"], "left", computed=True).select(
         *columns, page.cast("bigint").alias("page")
     )
 

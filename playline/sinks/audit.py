@@ -4,8 +4,6 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from playline import schemas
-
 
 def audit(
     spark: SparkSession,
@@ -16,5 +14,9 @@ def audit(
     status: str = "ok",
 ) -> None:
     """Append one row per step: rows written, and ok, skipped or failed."""
-    row = [(step, run_date, status, rows, dt.datetime.now(dt.timezone.utc))]
-    spark.createDataFrame(row, schemas.AUDIT).coalesce(1).write.mode("append").parquet(path)
+    entry = spark.sql(
+        "SELECT :step AS step, :run_date AS run_date, :status AS status, "
+        "CAST(:rows AS BIGINT) AS rows, current_timestamp() AS finished_at",
+        args={"step": step, "run_date": run_date, "status": status, "rows": rows},
+    )
+    entry.write.mode("append").parquet(path)

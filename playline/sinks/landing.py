@@ -41,10 +41,12 @@ def record_batch(
     rows: int,
 ) -> None:
     """Publish a landed batch as the current one; ``rows=0`` says that the run had nothing new."""
-    row = [(dataset, path, run_ts_text(run_ts), rows)]
-    spark.createDataFrame(row, schemas.LANDED_BATCHES).coalesce(1).write.mode("append").parquet(
-        batches
+    entry = spark.sql(
+        "SELECT :dataset AS dataset, CAST(:path AS STRING) AS path, :run_ts AS run_ts, "
+        "CAST(:rows AS BIGINT) AS rows",
+        args={"dataset": dataset, "path": path, "run_ts": run_ts_text(run_ts), "rows": rows},
     )
+    entry.write.mode("append").parquet(batches)
 
 
 def land_and_record(

@@ -169,3 +169,20 @@ def test_bounded_state_drops_copies_and_late_events(spark, raw, place, tmp_path)
     folder, out = f"{place[0]}/raw_data/events", str(tmp_path / "streamed")
     stream_deduplicated(spark, folder, out, str(tmp_path / "ckpt"), "2 days", "2024-01-30", max_files=1)
     assert rows(spark, out, "fact_events", "event_key") == [("a",), ("b",), ("d",)]
+
+
+def test_command_line(spark, raw, place, monkeypatch, capsys):
+    from playline import __main__ as cli
+
+    raw.media("20240130_235000", [media(1)])
+    raw.events("20240130_235000", [event("a")])
+    monkeypatch.setattr(cli, "build", lambda _name: spark)
+    monkeypatch.setattr(type(spark), "stop", lambda _self: None)
+    roots = ["--raw-root", place[0], "--out-root", place[1], "--run-date", "2024-01-30"]
+    monkeypatch.setattr("sys.argv", ["playline", "daily", *roots])
+    cli.main()
+    monkeypatch.setattr("sys.argv", ["playline", "events", *roots, "--from", "2024-01-01"])
+    cli.main()
+    printed = capsys.readouterr().out
+    assert "daily: {'dim_media': 1, 'fact_events': 1, 'fact_media_engagement': 1}" in printed
+    assert "events: 0" in printed

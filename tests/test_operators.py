@@ -172,6 +172,14 @@ def test_lookup_join_on_two_columns(spark, settings):
     assert rows(lookup_join(facts, lookup, ["k", "b"])) == rows(facts.join(lookup, ["k", "b"]).select("k", "n", "b", "name"))
 
 
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_computed_lookup_of_any_size(spark, settings, limit):
+    settings(playline__lookup__tinyBytes=0, playline__lookup__broadcastBytes=limit)
+    facts, _ = skewed(spark)
+    lookup = facts.groupBy("k").agg(F.max("n").alias("last"))
+    assert rows(lookup_join(facts, lookup, ["k"], "left", computed=True)) == rows(facts.join(lookup, ["k"], "left"))
+
+
 def test_tiny_lookup_is_not_measured(spark):
     facts, _ = skewed(spark)
     lookup = spark.range(0, 500, 2).select(F.concat(F.lit("k"), F.col("id")).alias("k"), "id")
