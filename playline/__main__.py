@@ -22,6 +22,9 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--database", default=jobs.DB)
     parser.add_argument("--batches", help="table of landed batches; default: pointer files")
     parser.add_argument("--blind-append", action="store_true", help="append events without a check")
+    parser.add_argument(
+        "--look-back", type=int, metavar="DAYS", help="search known events only in these days"
+    )
     parser.add_argument("--from", dest="from_ts", type=dt.datetime.fromisoformat)
     parser.add_argument("--to", dest="to_ts", type=dt.datetime.fromisoformat)
     args = parser.parse_args()
@@ -46,6 +49,7 @@ def main() -> None:
             args.from_ts,
             args.to_ts,
             args.batches,
+            args.look_back,
         ),
         "engagement": lambda: jobs.build_engagement(
             spark, args.out_root, args.run_date, args.database
@@ -58,6 +62,7 @@ def main() -> None:
             args.database,
             not args.blind_append,
             args.batches,
+            args.look_back,
         ),
     }[args.job]
     print(f"{args.job}: {run()}")

@@ -18,6 +18,10 @@ BROADCAST_BYTES = ("playline.lookup.broadcastBytes", 64 * 1024 * 1024)
 # A key with at least this many rows counts as hot. It bounds both the rows one join task gets
 # for a key and the number of hot keys (rows of the table / HOT_ROWS).
 HOT_ROWS = ("playline.lookup.hotRows", 5_000_000)
+# Keys are counted on a sample in which a hot key has about this many rows. The sample only picks
+# the way a key is joined, and both ways are exact; counting all rows would shuffle one count per
+# key and task, which with many keys is nearly the table.
+SAMPLED_ROWS = 10_000
 
 
 def _setting(df: DataFrame, setting: tuple[str, int]) -> int:
@@ -77,12 +81,13 @@ def lookup_join(
     if fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), on, how).select(*columns)
 
-    hot = (
-        facts.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= _setting(facts, HOT_ROWS))
-        .select(*[F.col(c).alias(f"_hot_{c}") for c in on])
-    )
+    hot_rows = _setting(facts, HOT_ROWS)
+    fraction = min(1.0, SAMPLED_ROWS / hot_rows)
+    keys = facts.select(*[F.col(c).alias(f"_hot_{c}") for c in on])
+    if fraction < 1:
+        keys = keys.sample(fraction, seed=1)
+    counts = keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counts.where(F.col("_rows") >= hot_rows * fraction).drop("_rows")
     hot = stage(hot, "hot-keys")
     if hot.isEmpty():
         return facts.join(lookup, on, how).select(*columns)

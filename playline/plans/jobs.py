@@ -52,18 +52,29 @@ def build_dim_media(
     return write_snapshot(media, table_path(out_root, "dim_media"))
 
 
-def store_events(events: DataFrame, out_root: str, run_date=None, keyed: bool = True) -> int:
-    """Typed raw events to fact_events; those without a time go to rejected_events."""
+def store_events(
+    events: DataFrame,
+    out_root: str,
+    run_date=None,
+    keyed: bool = True,
+    look_back: int | None = None,
+) -> int:
+    """Typed raw events to fact_events; those without a time go to rejected_events.
+
+    ``look_back`` limits the search for known keys to the load dates of that many days before the
+    run. By default all stored keys are searched, which costs a read of their column per run.
+    """
     day = as_date(run_date)
+    since = None if look_back is None else day - dt.timedelta(days=look_back)
     events = events.persist()  # parsed once; read several times, mostly for single columns
     try:
         good, rejects = reject_bad_time(events)
         rejects = rejects.select(*EVENT_FIELDS, CORRUPT).transform(stamp, day)
         if not rejects.isEmpty():
-            append_new(rejects, table_path(out_root, "rejected_events"), key=None)
+            append_new(rejects, table_path(out_root, "rejected_events"), key=None, since=since)
         facts = good.transform(project_events).transform(stamp, day)
-        write = append_new if keyed else write_append
-        return write(facts, table_path(out_root, "fact_events"))
+        path = table_path(out_root, "fact_events")
+        return append_new(facts, path, since=since) if keyed else write_append(facts, path)
     finally:
         events.unpersist()
 
@@ -77,10 +88,11 @@ def build_fact_events(
     from_ts: dt.datetime | None = None,
     to_ts: dt.datetime | None = None,
     batches: str | None = None,
+    look_back: int | None = None,
 ) -> int | None:
     """Append the current batch of events; None if there is no current batch.
 
-    ``keyed=False`` appends blindly. With ``from_ts`` and/or ``to_ts`` (UTC) all raw files are
+    ``keyed=False`` appends blindly; ``look_back`` as in ``store_events``. With ``from_ts`` and/or ``to_ts`` (UTC) all raw files are
     read for events after the one and up to the other, instead of the current batch.
     """
     prepare(spark)
@@ -93,7 +105,7 @@ def build_fact_events(
         if path is None:
             return None
         events = read_events(spark, path)
-    return store_events(events, out_root, run_date, keyed)
+    return store_events(events, out_root, run_date, keyed, look_back)
 
 
 def _all_events(spark: SparkSession, folder: str, batches: str | None) -> DataFrame:
@@ -129,6 +141,7 @@ def run_daily(
     db: str = DB,
     keyed: bool = True,
     batches: str | None = None,
+    look_back: int | None = None,
 ) -> dict[str, int | None]:
     """All three jobs in order, each followed by its catalog entry and an audit row.
 
@@ -140,7 +153,7 @@ def run_daily(
     steps = {
         "dim_media": lambda: build_dim_media(spark, raw_root, out_root, day, batches),
         "fact_events": lambda: build_fact_events(
-            spark, raw_root, out_root, day, keyed, batches=batches
+            spark, raw_root, out_root, day, keyed, batches=batches, look_back=look_back
         ),
         "fact_media_engagement": lambda: build_engagement(spark, out_root, day, db),
     }

@@ -36,6 +36,7 @@ def stream_events(
     run_date=None,
     layout: str = "array",
     max_files: int | None = None,
+    look_back: int | None = None,
 ) -> StreamingQuery:
     """Load every raw file not loaded yet into fact_events, then stop.
 
@@ -46,7 +47,7 @@ def stream_events(
     prepare(spark)
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        store_events(batch, out_root, as_date(run_date))
+        store_events(batch, out_root, as_date(run_date), look_back=look_back)
 
     query = (
         raw_event_stream(spark, raw_dir, layout, max_files)

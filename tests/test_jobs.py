@@ -134,6 +134,13 @@ def test_landed_batches_instead_of_pointers(spark, raw, place, tmp_path):
     assert build_fact_events(spark, *place, "2024-01-31", batches=batches, from_ts=dt.datetime(2024, 1, 1)) == 0
 
 
+def test_look_back_limits_the_search(spark, raw, place):
+    for day, keys in (("2024-01-01", "a"), ("2024-01-29", "b"), ("2024-01-30", "abc")):
+        raw.events(day.replace("-", "") + "_235000", [event(k) for k in keys])
+        load = build_fact_events(spark, *place, day, look_back=5)
+        assert load == {"a": 1, "b": 1, "abc": 2}[keys]  # "a" is beyond the five days
+
+
 # Stream
 
 

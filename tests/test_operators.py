@@ -14,6 +14,8 @@ from playline.operators.filters import (
     with_key,
 )
 from playline.operators.joins import engagement, lookup_stats, unmatched
+from conftest import plan
+from playline.operators import lookup as lookup_module
 from playline.operators.lookup import estimated_bytes, lookup_join, measured_bytes
 from playline.operators.project import envelope, stamp
 from playline.operators.sets import union_all
@@ -165,6 +167,19 @@ def test_lookup_join_ways_agree(spark, settings, how, limit, hot_rows):
     assert rows(lookup_join(facts, lookup, ["k"], how).select(*columns)) == rows(expected)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_hot_keys_found_on_a_sample(spark, settings, monkeypatch, how):
+    """A tenth of the rows is counted; all rows are joined."""
+    monkeypatch.setattr(lookup_module, "SAMPLED_ROWS", 100)
+    settings(playline__lookup__tinyBytes=0, playline__lookup__broadcastBytes=2000,
+             playline__lookup__hotRows=1000, spark__sql__autoBroadcastJoinThreshold=-1)
+    facts, lookup = skewed(spark)
+    joined = lookup_join(facts, lookup, ["k"], how)
+    assert "Union" in plan(joined)
+    expected = facts.join(lookup, ["k"], how)
+    assert rows(joined.select(*expected.columns)) == rows(expected)
+
+
 def test_lookup_join_on_two_columns(spark, settings):
     settings(playline__lookup__tinyBytes=0, playline__lookup__broadcastBytes=2000, playline__lookup__hotRows=500)
     facts, lookup = skewed(spark)
