@@ -2,6 +2,7 @@
 
 from playline.functions.columns import (
     PERCENT_SCALE,
+    parse_number,
     parse_time,
     raw_key,
     run_stamp,
@@ -12,6 +13,7 @@ from playline.functions.columns import (
 
 __all__ = [
     "PERCENT_SCALE",
+    "parse_number",
     "parse_time",
     "raw_key",
     "run_stamp",

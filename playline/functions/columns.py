@@ -18,6 +18,13 @@ def watch_cents(seconds: Column) -> Column:
     return F.rint(seconds * 100).cast("bigint")
 
 
+def parse_number(text: Column) -> Column:
+    """Text to a finite number; null for anything else, NaN and Infinity included: one of them
+    would make every sum over it useless."""
+    value = text.try_cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def parse_time(text: Column) -> Column:
     """ISO-8601 text to an instant; null for anything else. Text without a zone is UTC.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playline import schemas
-from playline.functions import parse_time
+from playline.functions import parse_number, parse_time
 
 CORRUPT = "_corrupt_record"
 
@@ -39,7 +39,7 @@ def read_media(spark: SparkSession, path: str, layout: str | None = None) -> Dat
         F.col("id").try_cast("bigint").alias("id"),
         "name",
         "thumbnail",
-        F.col("duration").try_cast("double").alias("duration"),
+        parse_number(F.col("duration")).alias("duration"),
         parse_time(F.col("created")).alias("created"),
         parse_time(F.col("updated")).alias("updated"),
         "hashed_id",
@@ -58,7 +58,7 @@ def parse_events(raw: DataFrame) -> DataFrame:
     """Typed events; a record with a bad value is kept in full as ``_corrupt_record``."""
     fields = [c for c in raw.columns if c != CORRUPT]
     times = parse_time(F.col("received_at"))
-    percent = F.col("percent_viewed").try_cast("double")
+    percent = parse_number(F.col("percent_viewed"))
 
     def unusable(text: str, value: Column) -> Column:
         return F.col(text).isNotNull() & (F.col(text) != "") & value.isNull()

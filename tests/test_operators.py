@@ -263,6 +263,16 @@ def test_until_empty_page_against_a_walk(spark, seed):
     assert rows(until_empty_page(df, F.col("fresh"), ["source"])) == stop_by_hand(pages)
 
 
+@pytest.mark.parametrize("sf, kept, plain", [("0.001", 27, 40), ("0.01", 151, 329)])
+def test_stop_page_on_given_events(spark, sf, kept, plain):
+    ev = spark.read.parquet(f"/root/testdata/sf{sf}/events.parquet").select(
+        (F.col("event_id") % 3).alias("source"), F.col("event_id").cast("string").alias("k"), "ts")
+    late = F.col("ts") > F.lit("2024-01-30").cast("timestamp_ntz")
+    pages = paginate(ev, ["source"], [F.md5("k")])
+    assert until_empty_page(pages, late, ["source"]).count() == kept
+    assert pages.where(late).count() == plain
+
+
 def test_null_predicate_is_no_hit(spark):
     df = spark.createDataFrame([("s", 1, True), ("s", 2, None), ("s", 3, True)], "source STRING, page INT, fresh BOOLEAN")
     assert rows(until_empty_page(df, F.col("fresh"), ["source"])) == [("s", 1, True)]

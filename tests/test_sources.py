@@ -79,6 +79,15 @@ def test_whole_and_broken_percentages(spark, raw):
     assert [rows[k]._corrupt_record for k in "abd"] == [None, None, None]
 
 
+def test_numbers_that_are_none(spark):
+    from playline.functions import parse_number
+
+    texts = ["50", "-0.5", "1e2", "NaN", "Infinity", "-inf", "", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text STRING")
+    found = [r[0] for r in df.select(parse_number(F.col("text"))).collect()]
+    assert found == [50.0, -0.5, 100.0] + [None] * 6
+
+
 def test_times(spark, raw):
     missing = event("h")
     del missing["received_at"]
