@@ -1,8 +1,9 @@
 """Times the headline queries over the test data and prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default: all), BENCH_RUNS.
-Each query runs once to warm up, then BENCH_RUNS times; the median counts. Queries go to the noop
-sink, so every row and column is computed; jobs that write do so within their time.
+All queries run once to warm up, then BENCH_RUNS times in turn; the median counts. A time covers
+building the query and running it into the noop sink, so every row and column is computed; queries
+that write tables do so within their time.
 """
 
 from __future__ import annotations
@@ -34,17 +35,20 @@ HEADLINE = [
 ]
 
 
-def run(query, spark, sf_dir):
+PARQUET = "fact_media_engagement_parquet"
+
+
+def to_noop(name, spark, sf_dir):
     start = time.perf_counter()
-    query(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
 
 
-def engagement_to_parquet(spark, sf_dir):
+def to_parquet(_name, spark, sf_dir):
     """The engagement fact written as the job writes it."""
     path = scratch_path(spark, "bench")
-    fact = QUERIES["fact_media_engagement"](spark, sf_dir)
     start = time.perf_counter()
+    fact = QUERIES["fact_media_engagement"](spark, sf_dir)
     fact.write.partitionBy("load_date").parquet(path)
     return time.perf_counter() - start
 
@@ -52,7 +56,7 @@ def engagement_to_parquet(spark, sf_dir):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build(
         "playline-bench",
         f"local[{cpus}]",
@@ -64,14 +68,13 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    chosen = sys.argv[1:] or HEADLINE
-    timings = {}
-    for name in chosen:
-        times = [run(QUERIES[name], spark, sf_dir) for _ in range(runs + 1)]
-        timings[name] = round(statistics.median(times[1:]), 3)
-    if not sys.argv[1:]:
-        times = [engagement_to_parquet(spark, sf_dir) for _ in range(runs + 1)]
-        timings["fact_media_engagement_parquet"] = round(statistics.median(times[1:]), 3)
+    chosen = sys.argv[1:] or [*HEADLINE, PARQUET]
+    times = {name: [] for name in chosen}
+    for _ in range(runs + 1):
+        for name in chosen:
+            timed = to_parquet if name == PARQUET else to_noop
+            times[name].append(timed(name, spark, sf_dir))
+    timings = {name: round(statistics.median(spent[1:]), 3) for name, spent in times.items()}
     spark.stop()
     print(
         json.dumps(

@@ -26,11 +26,14 @@ def engagement(events: DataFrame, media: DataFrame, run_date=None) -> DataFrame:
 
 
 def lookup_stats(media: DataFrame, stats: DataFrame) -> DataFrame:
-    """``media_id, engagement, error`` per media; error where there are no statistics."""
+    """``media_id, engagement, error`` per media; error where there are no statistics.
+
+    ``stats`` holds ``media_id`` and the statistics as JSON text (``to_json`` of a VARIANT).
+    """
     wanted = media.select(F.col("hashed_id").alias("media_id"))
     found = stats.select("media_id", "engagement", F.lit(True).alias("_found"))
     missing = F.concat(F.lit("no statistics for media "), F.col("media_id"))
-    return lookup_join(wanted, found, ["media_id"], "left").select(
+    return lookup_join(wanted, found, ["media_id"], "left", computed=True).select(
         "media_id", "engagement", F.when(F.col("_found").isNull(), missing).alias("error")
     )
 

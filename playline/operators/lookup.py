@@ -32,7 +32,10 @@ def _setting(df: DataFrame, setting: tuple[str, int]) -> int:
 def estimated_bytes(df: DataFrame) -> float:
     """What the planner expects, from file sizes; runs no job."""
     text = df.sparkSession.sql("EXPLAIN COST SELECT * FROM {df}", df=df).first()[0]
-    size, unit = re.search(r"sizeInBytes=([\d.E+]+) ([KMGTPE]?)i?B", text).groups()
+    found = re.search(r"sizeInBytes=([\d.E+]+) ([KMGTPE]?)i?B", text)
+    if not found:
+        return float("inf")
+    size, unit = found.groups()
     return float(size) * 1024 ** " KMGTPE".index(unit or " ")
 
 

@@ -129,7 +129,7 @@ def events_received_after(spark, sf):
 
 @query
 def events_for_media(spark, sf):
-    """The allowlist as a short list of ids."""
+    """The allowlist as a short list of ids: choosing them is the operator itself."""
     ids = ["c4ca4238a0", "c81e728d9d"]  # media 1 and 2
     return for_media(raw_events(spark, sf), ids).select("event_key", "media_id", "received_at")
 

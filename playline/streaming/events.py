@@ -82,7 +82,11 @@ def stream_deduplicated(
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         facts = batch.transform(project_events).transform(stamp, as_date(run_date))
-        write_append(facts, table_path(out_root, "fact_events"))
+        facts = facts.persist()  # each action on the batch would go through the state again
+        try:
+            write_append(facts, table_path(out_root, "fact_events"))
+        finally:
+            facts.unpersist()
 
     query = (
         dedup_within(events, horizon)
