@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from playline.llm import bpe
 from playline.llm.quality import quality
+from playline.llm.token_files import read_tokens, write_tokens
+from playline.session import scratch_path
+
+END_ID = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +25,27 @@ def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    definition = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
+    path = scratch_path(spark, "token-files")
+    write_tokens(table(spark, sf_dir, "documents"), definition, path, END_ID)
+    return read_tokens(spark, path).select(
+        "doc_id",
+        "start",
+        F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.digests(table(spark, sf_dir, "documents"), ranks)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_repetition": op3_repetition,
+    "op5_token_files": op5_token_files,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {}
