@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from playline.llm import bpe
 from playline.llm.quality import quality
 from playline.llm.token_files import read_tokens, write_tokens
-from playline.session import scratch_path
+from playline.llm.toxicity import fit, score
+from playline.llm.warc import page_records, read_archives, read_warc, write_warc
+from playline.session import prepare, scratch_path
 
 END_ID = 2
 
@@ -37,6 +39,18 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return page_records(read_warc(read_archives(spark, path)))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.digests(table(spark, sf_dir, "documents"), ranks)
@@ -45,6 +59,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_repetition": op3_repetition,
     "op5_token_files": op5_token_files,
+    "op7_warc": op7_warc,
+    "op8_toxicity": op8_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
