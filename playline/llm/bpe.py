@@ -11,11 +11,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from playline.llm.pretokens import gather, runs
+from playline.llm.pretokens import Known, Pieces, spell
 from playline.llm.spans import INVERSE, U64, char_values, id_and_text, mix, span_hashes
 
 #: Merged pre-tokens that a task remembers; beyond it, it begins anew.
-REMEMBERED = 400_000
+REMEMBERED = 2_000_000
 #: Keys of a bucket on average; larger makes the table smaller and slower to build.
 PER_BUCKET = 4
 
@@ -135,40 +135,24 @@ class Encoder:
         starts = np.concatenate([[0], ends])[:-1].astype(np.int64)
         hashes = span_hashes(points, starts, ends, char_values)
         self.table = PerfectHash.build(hashes)
-        self.keys: list[str] = [""] * len(keys)
-        self.slot_ranks: list[int] = [0] * len(keys)
-        for slot, key in zip(self.table.find(hashes).tolist(), keys):
-            self.keys[slot], self.slot_ranks[slot] = key, keys[key]
-        self.known: dict[str, list[int]] = {}
-
-    def ids_of(self, distinct: list[str], hashes: np.ndarray) -> list[list[int]]:
-        """Ids of distinct pre-tokens: the table for those in the vocabulary, else merges."""
-        out = []
-        for text, slot in zip(distinct, self.table.find(hashes).tolist()):
-            if slot >= 0 and self.keys[slot] == text:
-                out.append([self.slot_ranks[slot]])
-                continue
-            ids = self.known.get(text)
-            if ids is None:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                ids = self.known[text] = merge(text.encode(), self.ranks)
-            out.append(ids)
-        return out
+        slot_ranks = np.zeros(len(keys), np.uint32)
+        slot_ranks[self.table.find(hashes)] = list(keys.values())
+        self.known = Known(REMEMBERED, slot_ranks)
+
+    def places(self, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of a run's distinct pre-tokens are: in the table's slot for those in the
+        vocabulary, else among the merged ones."""
+        begin = self.table.find(pieces.hashes)
+        length = np.ones(len(begin), np.int64)
+        other = np.flatnonzero(begin < 0)
+        begin[other], length[other] = self.known.find(
+            pieces, other, lambda texts: [merge(t.encode(), self.ranks) for t in texts]
+        )
+        return begin, length
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts: list[list[np.ndarray]] = [[] for _ in texts]
-        for rows, pieces in runs(texts):
-            ids = self.ids_of(pieces.distinct, pieces.hashes)
-            lengths = np.array([len(x) for x in ids], np.int64)
-            flat = np.array([y for x in ids for y in x], np.uint32)
-            begin = np.cumsum(lengths) - lengths
-            long = lengths[pieces.which]
-            sequence = gather(flat, begin[pieces.which], long)
-            places = np.concatenate([[0], np.cumsum(long)])[pieces.places]
-            for k, row in enumerate(rows):
-                parts[row].append(sequence[places[k] : places[k + 1]])
-        return [p[0] if len(p) == 1 else np.concatenate(p or [np.empty(0, np.uint32)]) for p in parts]
+        parts = spell(texts, self.known, self.places)
+        return [p[0] if len(p) == 1 else np.concatenate(p) for p in parts]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))

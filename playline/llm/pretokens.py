@@ -93,11 +93,73 @@ class Pieces:
         end = np.append(begin[1:], len(points)) if len(begin) else begin
         hashes = span_hashes(points, begin, end, char_values)
         self.hashes, first, self.which = np.unique(hashes, return_index=True, return_inverse=True)
-        joined = "".join(texts)
-        self.distinct = [joined[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
+        self.joined, self.begin, self.end = "".join(texts), begin[first], end[first]
         #: Pre-tokens of text i: places[i] to places[i + 1].
         self.places = np.searchsorted(begin, offsets)
 
+    def strings(self, of: np.ndarray) -> list[str]:
+        """The distinct pre-tokens of these numbers."""
+        ends = self.end[of].tolist()
+        return [self.joined[a:b] for a, b in zip(self.begin[of].tolist(), ends)]
+
+
+class Known:
+    """Ids of the pre-tokens that a task has met, found by their 64-bit hashes.
+
+    Beyond ``limit`` pre-tokens it begins anew, so its size is bounded. ``flat`` holds all ids, the
+    fixed ones given at the start in front.
+    """
+
+    def __init__(self, limit: int, fixed: np.ndarray | None = None):
+        self.limit = limit
+        self.fixed = np.empty(0, np.uint32) if fixed is None else fixed
+        self.clear()
+
+    def clear(self) -> None:
+        self.flat, self.used = self.fixed.copy(), len(self.fixed)
+        self.hashes = np.empty(0, np.uint64)
+        self.begin, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def find(self, pieces: Pieces, of: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+        """Place in ``flat`` and number of the ids of the distinct pre-tokens ``of`` a run;
+        ``encode`` gives the ids of strings that are not known yet."""
+        hashes = pieces.hashes[of]
+        if len(self.hashes) + len(hashes) > self.limit:
+            self.clear()
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        there = at < len(self.hashes)
+        new[there] = self.hashes[at[there]] != hashes[there]
+        if new.any():
+            ids = encode(pieces.strings(of[new]))
+            length = np.array([len(x) for x in ids], np.int64)
+            size = int(length.sum())
+            if self.used + size > len(self.flat):
+                grown = np.empty(2 * (self.used + size), np.uint32)
+                grown[: self.used] = self.flat[: self.used]
+                self.flat = grown
+            self.flat[self.used : self.used + size] = [y for x in ids for y in x]
+            begin = self.used + np.cumsum(length) - length
+            self.used += size
+            self.hashes = np.insert(self.hashes, at[new], hashes[new])
+            self.begin = np.insert(self.begin, at[new], begin)
+            self.length = np.insert(self.length, at[new], length)
+            at = np.searchsorted(self.hashes, hashes)
+        return self.begin[at], self.length[at]
+
+
+def spell(texts: list[str], known: Known, find) -> list[list[np.ndarray]]:
+    """The ids of each text, in parts; ``find`` gives the places of a run's distinct pre-tokens."""
+    parts: list[list[np.ndarray]] = [[] for _ in texts]
+    for rows, pieces in runs(texts):
+        begin, length = find(pieces)
+        long = length[pieces.which]
+        sequence = gather(known.flat, begin[pieces.which], long)
+        places = np.concatenate([[0], np.cumsum(long)])[pieces.places]
+        for k, row in enumerate(rows):
+            parts[row].append(sequence[places[k] : places[k + 1]])
+    return parts
+
 
 def runs(texts: list[str]) -> Iterator[tuple[list[int], Pieces]]:
     """Consecutive texts (long ones in pieces) as ``Pieces``, with the index of each one's text."""

@@ -18,14 +18,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playline.llm.pretokens import gather, runs
+from playline.llm.pretokens import Known, spell
 from playline.llm.spans import id_and_text
 from playline.session import stage
 
 #: Ids after which a block ends; a longer document has a block of its own.
 BLOCK_IDS = 1 << 16
 #: Encoded pre-tokens that a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 2_000_000
 #: For every control byte, the bytes of its four values.
 WIDTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
@@ -67,34 +67,21 @@ class Tokens:
             and split.get("use_regex", True)
             and not split.get("add_prefix_space")
         )
-        self.known: dict[str, list[int]] = {}
+        self.known = Known(REMEMBERED)
 
     def library(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [x.ids for x in found]
 
-    def ids_of(self, distinct: list[str]) -> list[list[int]]:
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        new = [t for t in distinct if t not in self.known]
-        self.known.update(zip(new, self.library(new)))
-        return [self.known[t] for t in distinct]
-
     def encode(self, texts: list[str], last: int) -> list[np.ndarray]:
         end = np.array([last], np.uint32)
         if not self.by_parts:
             return [np.append(np.array(x, np.uint32), end) for x in self.library(texts)]
-        parts: list[list[np.ndarray]] = [[] for _ in texts]
-        for rows, pieces in runs(texts):
-            ids = self.ids_of(pieces.distinct)
-            lengths = np.array([len(x) for x in ids], np.int64)
-            flat = np.array([y for x in ids for y in x], np.uint32)
-            long = lengths[pieces.which]
-            sequence = gather(flat, (np.cumsum(lengths) - lengths)[pieces.which], long)
-            places = np.concatenate([[0], np.cumsum(long)])[pieces.places]
-            for k, row in enumerate(rows):
-                parts[row].append(sequence[places[k] : places[k + 1]])
-        return [np.concatenate([*p, end]) for p in parts]
+
+        def find(pieces):
+            return self.known.find(pieces, np.arange(len(pieces.hashes)), self.library)
+
+        return [np.concatenate([*p, end]) for p in spell(texts, self.known, find)]
 
 
 _tokens: dict[str, Tokens] = {}
