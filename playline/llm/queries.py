@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playline.llm import bpe, decontaminate
+from playline.llm import bpe, decontaminate, secret_scan
+from playline.llm.licenses import licenses
 from playline.llm.quality import quality
 from playline.llm.token_files import read_tokens, write_tokens
 from playline.llm.toxicity import fit, score
@@ -45,6 +46,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents"), path="source"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     path = scratch_path(spark, "warc")
@@ -57,6 +63,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files below their source and language; texts of up to 500 characters with a
+    notice count as licence files, since the table has none by name."""
+    prepare(spark)
+    place = F.concat_ws("/", "source", "lang", F.expr("doc_id DIV 1000"), F.col("doc_id"))
+    files = table(spark, sf_dir, "documents").select("doc_id", place.alias("path"), "text")
+    return licenses(files, is_license_file=F.length("text") <= 500)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.digests(table(spark, sf_dir, "documents"), ranks)
@@ -66,8 +81,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_repetition": op3_repetition,
     "op5_token_files": op5_token_files,
+    "op6_secrets": op6_secrets,
     "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
+    "op9_licenses": op9_licenses,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
