@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playline.llm import bpe, decontaminate, secret_scan
+from playline.llm.jaccard import similar
 from playline.llm.licenses import licenses
 from playline.llm.quality import quality
 from playline.llm.token_files import read_tokens, write_tokens
@@ -34,6 +35,11 @@ def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return similar(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     definition = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
     path = scratch_path(spark, "token-files")
@@ -80,6 +86,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_repetition": op3_repetition,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_token_files": op5_token_files,
     "op6_secrets": op6_secrets,
     "op7_warc": op7_warc,
