@@ -13,6 +13,7 @@ from playline.llm import bpe, decontaminate, secret_scan
 from playline.llm.jaccard import similar
 from playline.llm.licenses import licenses
 from playline.llm.quality import quality
+from playline.llm.suffixes import without_repeats
 from playline.llm.token_files import read_tokens, write_tokens
 from playline.llm.toxicity import fit, score
 from playline.llm.warc import page_records, read_archives, read_warc, write_warc
@@ -25,6 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    cut = without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -84,6 +93,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontamination": op2_decontamination,
     "op3_repetition": op3_repetition,
     "op4_jaccard_join": op4_jaccard_join,
