@@ -48,10 +48,14 @@ def windows_of(benchmark: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def identified(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows of one key and one text are alike and share a row key."""
-    doc_id, body = F.col(key).cast("long"), F.col(text).cast("string")
-    name = F.md5(F.concat_ws(" ", F.coalesce(doc_id.cast("string"), F.lit("-")), body))
-    return docs.select(doc_id.alias("doc_id"), name.alias("row_key"), words(body).alias("words"))
+    """Keys and words of the documents; rows of one key and one text share a row key."""
+    body = words(F.col(text).cast("string"))
+    return docs.select(F.col(key).cast("long").alias("doc_id"), row_key(key, text), body.alias("words"))
+
+
+def row_key(key: str, text: str) -> Column:
+    name = F.coalesce(F.col(key).cast("long").cast("string"), F.lit("-"))
+    return F.md5(F.concat_ws(" ", name, F.col(text).cast("string"))).alias("row_key")
 
 
 def decontaminate(
@@ -76,6 +80,13 @@ def decontaminate(
     benchmark are read again, and each shared hash is extended to the windows around it by comparing
     words. The benchmark's side is broadcast only below a measured size.
     """
+    return judged(docs, benchmark, key, text, item_key, item_text).drop("row_key")
+
+
+def judged(
+    docs: DataFrame, benchmark: DataFrame, key: str, text: str, item_key: str, item_text: str
+) -> DataFrame:
+    """``decontaminate`` with the row key of ``identified`` in front."""
     items = stage(windows_of(benchmark, item_key, item_text), "benchmark-items")
     sizes = items.agg(F.sum(F.size("words") * 24 + 64).alias("bytes")).first().bytes or 0
     # At most 13 lengths, whatever the size of the benchmark.
@@ -104,10 +115,11 @@ def decontaminate(
         ),
         "fingerprints",
     )
-    names = ["doc_id", "n_words", "n_hit", "n_items", "items", "contaminated"]
+    names = ["row_key", "doc_id", "n_words", "n_hit", "n_items", "items", "contaminated"]
     none = F.array().cast("array<string>")
     if not spans:
         return staged.select(
+            "row_key",
             "doc_id",
             F.col("n_words").cast("long"),
             F.lit(0).cast("long").alias("n_hit"),
@@ -141,6 +153,21 @@ def decontaminate(
     )
 
 
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """The rows, with all their columns, that are not contaminated."""
+    found = judged(docs, benchmark, key, text, item_key, item_text)
+    bad = found.where("contaminated").select("row_key").distinct()
+    packed = docs.select(F.struct(*docs.columns).alias("doc"), row_key(key, text))
+    return packed.join(bad, "row_key", "left_anti").select("doc.*")
+
+
 def extend(texts: DataFrame, marks: DataFrame, span: int) -> DataFrame:
     """``row_key, reach, item``: where windows of items occur, as structs of first word and length.
 

@@ -299,3 +299,20 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text scores below 0.5; a null text is an empty one."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            scores = [
+                shared.value.scores(data, offsets)
+                for _, _, data, offsets in chunks(batch.column(place))
+            ]
+            if scores:
+                yield batch.filter(pa.array(np.concatenate(scores) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
