@@ -26,11 +26,28 @@ def _literal(value) -> Column:
     return F.lit(value).cast("timestamp")
 
 
-def reject_bad_time(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split off events whose ``received_at`` is missing, empty or no ISO-8601 time."""
+def received_between(df: DataFrame, after=None, until=None) -> DataFrame:
+    """Events received strictly after the one and not after the other, where given. Events without
+    a usable time stay, so that they can be recorded as rejected."""
+    time = _usable_time(df)
+    inside = F.lit(True)
+    if after is not None:
+        inside &= time > _literal(after)
+    if until is not None:
+        inside &= time <= _literal(until)
+    return df.where(time.isNull() | inside)
+
+
+def _usable_time(df: DataFrame) -> Column:
     time = F.col("received_at")
     if isinstance(df.schema["received_at"].dataType, T.StringType):
         time = parse_time(time)
+    return time
+
+
+def reject_bad_time(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split off events whose ``received_at`` is missing, empty or no ISO-8601 time."""
+    time = _usable_time(df)
     good = df.where(time.isNotNull()).withColumn("received_at", time)
     return good, df.where(time.isNull())
 
@@ -60,10 +77,12 @@ def until_empty_page(pages: DataFrame, pred: Column, by: list[str]) -> DataFrame
         .groupBy(*by)
         .agg(F.min("page").alias("_stop"))
     )
+    rows, ends = pages.where(pred).alias("rows"), stops.alias("ends")
+    same = [F.col(f"rows.{c}").eqNullSafe(F.col(f"ends.{c}")) for c in by]
     return (
-        lookup_join(pages.where(pred), stops, by, "left", computed=True)
-        .where(F.col("_stop").isNull() | (F.col("page") < F.col("_stop")))
-        .drop("_stop")
+        rows.join(ends, same, "left")
+        .where(F.col("_stop").isNull() | (F.col("rows.page") < F.col("_stop")))
+        .select("rows.*")
     )
 
 

@@ -3,7 +3,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playline.operators.lookup import lookup_join
 from playline.session import stage
 
 PER_PAGE = 100
@@ -52,9 +51,11 @@ def paginate(
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
     page = F.floor((F.col("_pos") + F.col("_shift")) / F.lit(per_page)) + 1
-    return lookup_join(placed, shifts, [*by, "_part"], "left", computed=True).select(
-        *columns, page.cast("bigint").alias("page")
-    )
+    # Null-safe, so that rows without a source count as a source of their own.
+    rows, moved = placed.alias("rows"), shifts.alias("moved")
+    same = [F.col(f"rows.{c}").eqNullSafe(F.col(f"moved.{c}")) for c in [*by, "_part"]]
+    joined = rows.join(moved, same, "left").select("rows.*", "moved._shift")
+    return joined.select(*columns, page.cast("bigint").alias("page"))
 
 
 def build_dim_visitor(events: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from playline import schemas
-from playline.operators.filters import received_after, reject_bad_time
+from playline.operators.filters import received_between, reject_bad_time
 from playline.operators.joins import engagement
 from playline.operators.project import EVENT_FIELDS, as_date, flatten_media, project_events, stamp
 from playline.session import prepare
@@ -18,7 +18,6 @@ from playline.sources.batches import latest_batch
 from playline.sources.raw import CORRUPT, read_events, read_media
 
 DB = "media_analytics"
-BEGINNING = dt.datetime(1970, 1, 1)
 # Places below the raw root (fixed values).
 MEDIA_DIR = "raw_data/media"
 MEDIA_POINTER = "raw_data/media/s3_keys/latest_media_file.json"
@@ -99,7 +98,8 @@ def build_fact_events(
     if from_ts is not None or to_ts is not None:
         folder = f"{raw_root}/{EVENTS_DIR}"
         events = _all_events(spark, folder, batches)
-        events = received_after(events, from_ts or BEGINNING, to_ts)
+        # Events without a usable time stay, to be recorded as rejected.
+        events = received_between(events, from_ts, to_ts)
     else:
         path = _current(spark, raw_root, "events", EVENTS_DIR, EVENTS_POINTER, batches, "skip")
         if path is None:

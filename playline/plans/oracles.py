@@ -173,3 +173,8 @@ BODIES = {
 }
 
 ORACLES = {name: INPUTS + body for name, body in BODIES.items()}
+
+# The exact report, and that the sketch lies near it.
+ORACLES["engagement_by_media_approx"] = (
+    f"SELECT *, true AS sketch_is_near FROM ({ORACLES['engagement_by_media']})"
+)

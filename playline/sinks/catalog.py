@@ -14,12 +14,13 @@ def register(spark: SparkSession, db: str, name: str, path: str, schema: str) ->
     """
     read_table(spark, path, schema)
     table = f"`{db}`.`{name}`"
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     if spark.catalog.tableExists(f"{db}.{name}") and not _lies_at(spark, table, path):
         spark.sql(f"DROP TABLE {table}")  # external: drops the entry, not the files
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet "
-        f"PARTITIONED BY ({PARTITION}) LOCATION '{path}'"
+        f"PARTITIONED BY ({PARTITION}) LOCATION '{place}'"
     )
     spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     spark.sql(f"REFRESH TABLE {table}")

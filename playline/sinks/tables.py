@@ -55,7 +55,7 @@ def append_new(
 ) -> int:
     """Append only rows whose key the table does not hold yet; loading a batch twice is safe.
 
-    Within the batch the earliest row of a key wins. Rows without a key, and all rows if ``key``
+    Within the batch the earliest row of a key wins. Rows without a key (null or empty), and all rows if ``key``
     is None, are identified by their whole content. ``since`` limits the search for known keys
     to that load date and later ones, for callers who know that older runs cannot return.
 
@@ -86,14 +86,14 @@ def _id_size(df: DataFrame, key: str | None) -> tuple[Column, Column]:
     if key is None:
         return F.count(F.lit(1)) * (digest + 24), F.count(F.lit(1))
     length = F.coalesce(F.octet_length(key), F.lit(digest)) + 24
-    return F.sum(length.cast("bigint")), F.count_if(F.col(key).isNull())
+    return F.sum(length.cast("bigint")), F.count_if(F.col(key).isNull() | (F.col(key) == ""))
 
 
 def _identity(columns: list[str], key: str | None) -> Column:
     fields = F.struct(*[c for c in columns if c != PARTITION])
     content = F.to_json(fields, {"timestampFormat": JSON_TIME})
     digest = F.concat(F.lit("row:"), F.sha2(content, 256))
-    return digest if key is None else F.coalesce(F.col(key), digest)
+    return digest if key is None else F.coalesce(F.nullif(F.col(key), F.lit("")), digest)
 
 
 def _one_per_id(batch: DataFrame) -> DataFrame:
@@ -116,8 +116,9 @@ def _stored_ids(table: DataFrame, key: str | None, loose: bool) -> DataFrame:
     whole = _identity(table.columns, key).alias("_id")
     if key is None:
         return table.select(whole)
-    ids = table.where(F.col(key).isNotNull()).select(F.col(key).alias("_id"))
-    return ids.unionByName(table.where(F.col(key).isNull()).select(whole)) if loose else ids
+    keyless = F.col(key).isNull() | (F.col(key) == "")
+    ids = table.where(~keyless).select(F.col(key).alias("_id"))
+    return ids.unionByName(table.where(keyless).select(whole)) if loose else ids
 
 
 def _known(stored: DataFrame, ids: DataFrame, size: int) -> DataFrame:

@@ -1,13 +1,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from playline.operators.filters import reject_bad_time
-from playline.operators.project import as_date, project_events, stamp
-from playline.plans.jobs import store_events, table_path
+from playline.operators.project import as_date
+from playline.plans.jobs import store_events
 from playline.session import prepare
-from playline.sinks.tables import write_append
 from playline.sources.raw import event_options, parse_events
 
 
@@ -76,21 +75,19 @@ def stream_deduplicated(
     layout: str = "array",
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """As ``stream_events``, but with ``dedup_within`` instead of a look at the table."""
+    """As ``stream_events``, but with ``dedup_within`` in front, so that
+    fewer rows reach the keyed append; rejects are stored, and a replay adds nothing."""
     prepare(spark)
-    events, _ = reject_bad_time(raw_event_stream(spark, raw_dir, layout, max_files))
+    events = raw_event_stream(spark, raw_dir, layout, max_files)
+    # Events without a time or key can't be told apart by the state and go past it.
+    keyed = F.col("received_at").isNotNull() & (F.coalesce("event_key", F.lit("")) != "")
+    events = dedup_within(events.where(keyed), horizon).unionByName(events.where(~keyed))
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        facts = batch.transform(project_events).transform(stamp, as_date(run_date))
-        facts = facts.persist()  # each action on the batch would go through the state again
-        try:
-            write_append(facts, table_path(out_root, "fact_events"))
-        finally:
-            facts.unpersist()
+        store_events(batch, out_root, as_date(run_date))
 
     query = (
-        dedup_within(events, horizon)
-        .writeStream.foreachBatch(load)
+        events.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -193,3 +193,38 @@ def test_command_line(spark, raw, place, monkeypatch, capsys):
     printed = capsys.readouterr().out
     assert "daily: {'dim_media': 1, 'fact_events': 1, 'fact_media_engagement': 1}" in printed
     assert "events: 0" in printed
+
+
+def test_range_load_records_rejects_and_has_no_first_day(spark, raw, tmp_path):
+    raw.events(
+        "20240130_235000",
+        [
+            event("old", received_at="1969-05-01T00:00:00.000Z"),
+            event("bad", received_at="oops"),
+            event("late", received_at="2024-03-01T00:00:00.000Z"),
+        ],
+    )
+    out = str(tmp_path / "out")
+    build_fact_events(
+        spark, str(raw.root), out, dt.date(2024, 1, 30), to_ts=dt.datetime(2024, 2, 1)
+    )
+    facts = spark.read.parquet(f"{out}/processed/fact_events")
+    assert [r.event_key for r in facts.collect()] == ["old"]
+    assert spark.read.parquet(f"{out}/processed/rejected_events").count() == 1
+
+
+def test_deduplicating_stream_keeps_rejects_and_keyless_events(spark, raw, tmp_path):
+    records = [
+        event("a"), event("a"), event("", ip="1"), event("", ip="2"),
+        event(None, ip="3"), event(None, ip="4"), event("bad", received_at="oops"),
+    ]
+    raw.events("20240130_235000", records, point=False)
+    out = str(tmp_path / "out")
+    for turn in range(2):  # a replay from a new checkpoint adds nothing
+        stream_deduplicated(
+            spark, str(raw.root / "raw_data/events"), out, str(tmp_path / f"c{turn}"),
+            run_date="2024-01-30",
+        )
+        facts = spark.read.parquet(f"{out}/processed/fact_events")
+        assert sorted(r.ip for r in facts.collect()) == ["1", "10.0.0.1", "2", "3", "4"]
+        assert spark.read.parquet(f"{out}/processed/rejected_events").count() == 1
