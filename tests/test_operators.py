@@ -294,3 +294,13 @@ def test_reports(spark):
     assert rows(reports.by_visitor(fact)) == [("v1", 3, 2, 53.33, 30.0), ("v2", 1, 1, 25.0, 25.0)]
     assert rows(reports.daily(fact)) == [(TEN.date(), 2, 2, 75.0), (next_day.date(), 2, 1, 3.33)]
     assert reports.interactions(ev, dim).count() == 4
+
+
+def test_a_null_source_has_pages_and_a_stop_page(spark):
+    rows = [(s, k, k < 100) for s in (None, "a") for k in range(250)]
+    df = spark.createDataFrame(rows, "source string, k int, hit boolean")
+    pages = paginate(df, ["source"], ["k"], per_page=100, descending=False)
+    assert {(r.source, r.k // 100 + 1 == r.page) for r in pages.collect()} == {(None, True), ("a", True)}
+    later = F.col("hit") | (F.col("k") >= 200)
+    kept = until_empty_page(pages, later, ["source"])
+    assert kept.count() == 200 and kept.where("k >= 200").count() == 0
