@@ -13,12 +13,13 @@ from playline.operators.lookup import lookup_join
 def received_after(df: DataFrame, cutoff=None, until=None) -> DataFrame:
     """Events received strictly after ``cutoff`` (default: today 00:00 UTC), and not after
     ``until`` if given. Plain comparisons, so they reach the Parquet scan."""
-    start = utc_day(F.current_timestamp()) if cutoff is None else _literal(cutoff)
+    start = utc_day(F.current_timestamp()) if cutoff is None else as_instant(cutoff)
     df = df.where(F.col("received_at") > start)
-    return df if until is None else df.where(F.col("received_at") <= _literal(until))
+    return df if until is None else df.where(F.col("received_at") <= as_instant(until))
 
 
-def _literal(value) -> Column:
+def as_instant(value) -> Column:
+    """A time as a column; a datetime without a zone is UTC."""
     if isinstance(value, Column):
         return value
     if isinstance(value, dt.datetime) and value.tzinfo is None:
@@ -32,9 +33,9 @@ def received_between(df: DataFrame, after=None, until=None) -> DataFrame:
     time = _usable_time(df)
     inside = F.lit(True)
     if after is not None:
-        inside &= time > _literal(after)
+        inside &= time > as_instant(after)
     if until is not None:
-        inside &= time <= _literal(until)
+        inside &= time <= as_instant(until)
     return df.where(time.isNull() | inside)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playline import schemas
 from playline.operators.filters import received_between, reject_bad_time
@@ -13,11 +14,20 @@ from playline.operators.project import EVENT_FIELDS, as_date, flatten_media, pro
 from playline.session import prepare
 from playline.sinks.audit import audit
 from playline.sinks.catalog import register
-from playline.sinks.tables import append_new, write_append, write_snapshot
-from playline.sources.batches import latest_batch
+from playline.sinks.tables import append_new, read_table, write_append, write_snapshot
+from playline.sources.batches import (
+    array_files,
+    latest_batch,
+    overlapping_batches,
+    record_loaded,
+    unloaded_batches,
+)
 from playline.sources.raw import CORRUPT, read_events, read_media
 
 DB = "media_analytics"
+# Why a record is in rejected_events.
+NO_TIME = "no usable received_at"
+BAD_VALUE = "unusable value"
 # Places below the raw root (fixed values).
 MEDIA_DIR = "raw_data/media"
 MEDIA_POINTER = "raw_data/media/s3_keys/latest_media_file.json"
@@ -58,7 +68,8 @@ def store_events(
     keyed: bool = True,
     look_back: int | None = None,
 ) -> int:
-    """Typed raw events to fact_events; those without a time go to rejected_events.
+    """Typed raw events to fact_events. Those without a time go to rejected_events; those with
+    another unusable value are stored without it, and their records go there as well.
 
     ``look_back`` limits the search for known keys to the load dates of that many days before the
     run. By default all stored keys are searched, which costs a read of their column per run.
@@ -68,9 +79,15 @@ def store_events(
     events = events.persist()  # parsed once; read several times, mostly for single columns
     try:
         good, rejects = reject_bad_time(events)
-        rejects = rejects.select(*EVENT_FIELDS, CORRUPT).transform(stamp, day)
-        if not rejects.isEmpty():
-            append_new(rejects, table_path(out_root, "rejected_events"), key=None, since=since)
+        reason = F.when(F.col("received_at").isNull(), NO_TIME).otherwise(BAD_VALUE)
+        noted = (
+            rejects.unionByName(good.where(F.col(CORRUPT).isNotNull()))
+            .select(*EVENT_FIELDS, CORRUPT, reason.alias("reason"))
+            .transform(stamp, day)
+        )
+        if not noted.isEmpty():
+            rows = append_new(noted, table_path(out_root, "rejected_events"), None, since)
+            audit(events.sparkSession, "rejected_events", day, rows, table_path(out_root, "audit"))
         facts = good.transform(project_events).transform(stamp, day)
         path = table_path(out_root, "fact_events")
         return append_new(facts, path, since=since) if keyed else write_append(facts, path)
@@ -89,36 +106,59 @@ def build_fact_events(
     batches: str | None = None,
     look_back: int | None = None,
 ) -> int | None:
-    """Append the current batch of events; None if there is no current batch.
-
-    ``keyed=False`` appends blindly; ``look_back`` as in ``store_events``. With ``from_ts`` and/or ``to_ts`` (UTC) all raw files are
-    read for events after the one and up to the other, instead of the current batch.
+    """Append new events; None if there is no new batch.
+
+    New is the file that the pointer names, or with ``batches`` every published batch that no
+    earlier run has recorded as loaded. (A run lost before that record loads its batches again,
+    which the keyed append makes harmless.) ``keyed=False`` appends blindly; ``look_back`` as in
+    ``store_events``. With ``from_ts`` and/or ``to_ts`` (UTC) all array files, and with ``batches``
+    the published batches that overlap the range, are read for events after the one and up to the
+    other.
     """
     prepare(spark)
+    folder = f"{raw_root}/{EVENTS_DIR}"
     if from_ts is not None or to_ts is not None:
-        folder = f"{raw_root}/{EVENTS_DIR}"
-        events = _all_events(spark, folder, batches)
+        paths = array_files(spark, folder)
+        if batches:
+            paths += overlapping_batches(spark, batches, "events", from_ts, to_ts)
+        if not paths:
+            return 0
         # Events without a usable time stay, to be recorded as rejected.
-        events = received_between(events, from_ts, to_ts)
-    else:
-        path = _current(spark, raw_root, "events", EVENTS_DIR, EVENTS_POINTER, batches, "skip")
-        if path is None:
+        events = received_between(read_events(spark, paths), from_ts, to_ts)
+        return store_events(events, out_root, run_date, keyed, look_back)
+    if batches:
+        loaded = table_path(out_root, "loaded_batches")
+        paths = unloaded_batches(spark, batches, "events", loaded)
+        if not paths:
             return None
-        events = read_events(spark, path)
-    return store_events(events, out_root, run_date, keyed, look_back)
+        rows = store_events(read_events(spark, paths), out_root, run_date, keyed, look_back)
+        record_loaded(spark, loaded, "events", paths, as_date(run_date))
+        return rows
+    path = _current(spark, raw_root, "events", EVENTS_DIR, EVENTS_POINTER, None, "skip")
+    if path is None:
+        return None
+    return store_events(read_events(spark, path), out_root, run_date, keyed, look_back)
 
 
-def _all_events(spark: SparkSession, folder: str, batches: str | None) -> DataFrame:
-    if batches:
-        return read_events(spark, f"{folder}/run_ts=*", layout="lines")
-    return read_events(spark, f"{folder}/*.json", layout="array")
+class MissingTableError(ValueError):
+    """A table that the engagement fact is built from is missing or empty."""
 
 
-def build_engagement(spark: SparkSession, out_root: str, run_date=None, db: str = DB) -> int:
-    """Rebuild fact_media_engagement from all events and the current media."""
+def build_engagement(
+    spark: SparkSession, out_root: str, run_date=None, db: str = DB, allow_no_events: bool = False
+) -> int:
+    """Rebuild fact_media_engagement from all events and the current media.
+
+    Raises, and leaves files and catalog as they are, if there is no media, or no table of events
+    (unless ``allow_no_events``), or if a name is registered for another place.
+    """
     prepare(spark)
-    refresh(spark, out_root, "dim_media", db)
-    refresh(spark, out_root, "fact_events", db)
+    for name in ("dim_media", "fact_events"):
+        stored = read_table(spark, table_path(out_root, name), schemas.TABLES[name])
+        if stored.isEmpty() and not (name == "fact_events" and allow_no_events):
+            raise MissingTableError(f"{name} is missing or empty below {out_root}")
+    for name in ("dim_media", "fact_events"):
+        refresh(spark, out_root, name, db, move=False)
     media = spark.table(f"{db}.dim_media")
     events = spark.table(f"{db}.fact_events")
     # No check for emptiness: it would run the join twice.
@@ -129,8 +169,10 @@ def build_engagement(spark: SparkSession, out_root: str, run_date=None, db: str
     )
 
 
-def refresh(spark: SparkSession, out_root: str, name: str, db: str = DB) -> None:
-    register(spark, db, name, table_path(out_root, name), schemas.TABLES[name])
+def refresh(
+    spark: SparkSession, out_root: str, name: str, db: str = DB, move: bool = True
+) -> None:
+    register(spark, db, name, table_path(out_root, name), schemas.TABLES[name], move)
 
 
 def run_daily(
@@ -155,7 +197,7 @@ def run_daily(
         "fact_events": lambda: build_fact_events(
             spark, raw_root, out_root, day, keyed, batches=batches, look_back=look_back
         ),
-        "fact_media_engagement": lambda: build_engagement(spark, out_root, day, db),
+        "fact_media_engagement": lambda: build_engagement(spark, out_root, day, db, True),
     }
     rows: dict[str, int | None] = {}
     for name, step in steps.items():

@@ -138,6 +138,25 @@ BODIES = {
     "rejected_events": """
         SELECT event_key, source = 'error' AS kept_in_full
         FROM ev WHERE source IN ('error', 'signup')""",
+    "keyless_events": """
+        SELECT CASE source WHEN 'error' THEN '' WHEN 'click' THEN NULL ELSE event_key END
+                 AS event_key, received_at, media_id
+        FROM ev, unnest([1, 2]) AS t(copy)
+        WHERE copy = 1 OR source IN ('click', 'error')""",
+    "percent_rejects": """
+        SELECT event_key, DATE '2024-01-30' AS load_date,
+               CASE WHEN source = 'click' THEN 'unusable value'
+                    ELSE 'no usable received_at' END AS reason
+        FROM ev WHERE source IN ('error', 'signup', 'click')""",
+    "range_load_rejects": """
+        SELECT event_key, 'no usable received_at' AS kept_as
+        FROM ev WHERE source IN ('error', 'signup')
+        UNION ALL SELECT event_key, 'stored' FROM ev
+        WHERE source NOT IN ('error', 'signup') AND received_at <= TIMESTAMP '2024-01-16'""",
+    "stream_dedup_rejects": """
+        SELECT event_key, 'no usable received_at' AS reason
+        FROM ev WHERE source IN ('error', 'signup')""",
+    "two_batches_one_run": LOADED,
     "events_append": """
         SELECT event_key, DATE '2024-01-30' AS load_date FROM ev
         UNION ALL

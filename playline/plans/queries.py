@@ -394,6 +394,74 @@ def media_snapshots(spark, sf):
     )
 
 
+def _stored(spark, root, name, schema):
+    return spark.read.schema(schema).parquet(table_path(root, name))
+
+
+def _keyless(spark, sf):
+    """Raw events of which clicks have no key, errors an empty one, and both come twice."""
+    kind = F.col("source")
+    events = raw_events(spark, sf).withColumn(
+        "event_key",
+        F.when(kind == "error", F.lit("")).when(kind != "click", F.col("event_key")),
+    )
+    twice = union_all(events, events.where(kind.isin("click", "error")))
+    return project_events(twice).transform(_instants)
+
+
+@query
+def keyless_events(spark, sf):
+    """Events with and without a key, loaded twice: no event is lost, the second load adds none."""
+    path = scratch_path(spark, "keyless")
+    for day in ("2024-01-29", RUN_DATE):
+        append_new(_keyless(spark, sf).transform(stamp, day), path)
+    return _zoneless(spark.read.parquet(path).select("event_key", "received_at", "media_id"))
+
+
+@query
+def percent_rejects(spark, sf):
+    """Records that rejected_events holds after two loads of the same events."""
+    root = scratch_path(spark, "rejects")
+    for _turn in range(2):
+        store_events(_dirty(spark, sf), root, RUN_DATE)
+    rejects = _stored(spark, root, "rejected_events", schemas.REJECTED_EVENTS)
+    return rejects.select("event_key", "reason", "load_date")
+
+
+def _dirty_text(spark, sf):
+    """The events of ``_dirty`` as they lie in raw files."""
+    events = _dirty(spark, sf)
+    time = F.date_format("received_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return events.withColumn("received_at", F.coalesce(time, F.lit("oops"))).drop("_corrupt_record")
+
+
+@query
+def range_load_rejects(spark, sf):
+    """Events a range load stores or rejects: those without a time are in no range, but kept."""
+    root = scratch_path(spark, "range-rejects")
+    log = f"{root}/landed_batches"
+    land_and_record(_dirty_text(spark, sf), f"{root}/{EVENTS_DIR}", RUN_TS, log, "events")
+    end = dt.datetime(2024, 1, 16)
+    build_fact_events(spark, root, root, RUN_DATE, to_ts=end, batches=log)
+    facts = _stored(spark, root, "fact_events", schemas.FACT_EVENTS)
+    rejects = _stored(spark, root, "rejected_events", schemas.REJECTED_EVENTS)
+    return union_all(
+        facts.select("event_key", F.lit("stored").alias("kept_as")),
+        rejects.select("event_key", F.col("reason").alias("kept_as")),
+    )
+
+
+@query
+def stream_dedup_rejects(spark, sf):
+    """Rejects of the deduplicating stream."""
+    root = scratch_path(spark, "stream-rejects")
+    folder = f"{root}/{EVENTS_DIR}"
+    land_raw(_dirty_text(spark, sf), folder, RUN_TS)
+    stream_deduplicated(spark, folder, root, f"{root}/checkpoint", "60 days", RUN_DATE, "lines")
+    rejects = _stored(spark, root, "rejected_events", schemas.REJECTED_EVENTS)
+    return rejects.select("event_key", "reason")
+
+
 # Whole jobs
 
 
@@ -443,6 +511,16 @@ def date_range_load(spark, sf):
     return events.transform(_zoneless)
 
 
+@query
+def two_batches_one_run(spark, sf):
+    """Two batches land between two runs: one run loads both, the next finds nothing new."""
+    root = scratch_path(spark, "two-batches")
+    _folder, log = _land_events(spark, sf, root)
+    for day in (RUN_DATE, "2024-01-31"):
+        build_fact_events(spark, root, root, day, batches=log)
+    return _stored(spark, root, "fact_events", schemas.FACT_EVENTS).transform(_zoneless)
+
+
 @query
 def ad_hoc_sql(spark, sf):
     root = scratch_path(spark, "ad-hoc")

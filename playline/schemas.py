@@ -31,9 +31,15 @@ FACT_MEDIA_ENGAGEMENT = (
 REJECTED_EVENTS = (
     "visitor_key STRING, event_key STRING, received_at TIMESTAMP, percent_viewed DOUBLE, "
     "ip STRING, country STRING, media_id STRING, media_url STRING, _corrupt_record STRING, "
-    "load_date DATE"
+    "reason STRING, load_date DATE"
+)
+# first_at and last_at: least and greatest usable time of the batch's events; timeless: events
+# without one. Null where they are not known.
+LANDED_BATCHES = (
+    "dataset STRING, path STRING, run_ts STRING, rows BIGINT, first_at TIMESTAMP, "
+    "last_at TIMESTAMP, timeless BIGINT"
 )
-LANDED_BATCHES = "dataset STRING, path STRING, run_ts STRING, rows BIGINT"
+LOADED_BATCHES = "dataset STRING, path STRING, load_date DATE"
 AUDIT = "step STRING, run_date DATE, status STRING, rows BIGINT, finished_at TIMESTAMP"
 
 TABLES = {

@@ -3,21 +3,27 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from playline.sinks.tables import PARTITION, read_table
+from playline.sinks.tables import PARTITION
 
 
-def register(spark: SparkSession, db: str, name: str, path: str, schema: str) -> None:
+def register(
+    spark: SparkSession, db: str, name: str, path: str, schema: str, move: bool = True
+) -> None:
     """Make the table at ``path`` queryable as ``db.name``, with exactly the load dates on disk.
 
     Returns when the partitions are in the catalog. Files are never touched; a folder that does
-    not exist yet is created, so that the table reads as empty.
+    not exist yet is created, so that the table reads as empty. If the name stands for another
+    place, it is moved to this one, or with ``move=False`` that is an error.
     """
-    read_table(spark, path, schema)
     table = f"`{db}`.`{name}`"
-    place = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     if spark.catalog.tableExists(f"{db}.{name}") and not _lies_at(spark, table, path):
+        if not move:
+            raise ValueError(f"{db}.{name} is registered for another place than {path}")
         spark.sql(f"DROP TABLE {table}")  # external: drops the entry, not the files
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").partitionBy(PARTITION).parquet(path)
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet "
         f"PARTITIONED BY ({PARTITION}) LOCATION '{place}'"

@@ -4,32 +4,54 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playline import schemas
+from playline.functions import parse_time
 
 
 def run_ts_text(run_ts: dt.datetime | str) -> str:
     return run_ts if isinstance(run_ts, str) else run_ts.strftime("%Y%m%d_%H%M%S")
 
 
+def _span(df: DataFrame) -> list[Column]:
+    """Aggregates that tell which time ranges a batch of events can matter for."""
+    if "received_at" not in df.columns:
+        return []
+    time = F.col("received_at")
+    if isinstance(df.schema["received_at"].dataType, T.StringType):
+        time = parse_time(time)
+    micros = F.unix_micros(time.cast("timestamp"))
+    return [
+        F.min(micros).alias("first_at"),
+        F.max(micros).alias("last_at"),
+        F.count_if(time.isNull()).alias("timeless"),
+    ]
+
+
 def land_raw(df: DataFrame, raw_dir: str, run_ts: dt.datetime | str) -> tuple[str | None, int]:
     """Write a raw batch as JSON lines below ``run_ts=…``; nothing at all for an empty one.
 
     Returns the folder (None if empty) and the number of rows.
     """
+    path, seen = _land(df, raw_dir, run_ts)
+    return path, seen["rows"]
+
+
+def _land(df: DataFrame, raw_dir: str, run_ts: dt.datetime | str) -> tuple[str | None, dict]:
     if df.isEmpty():
-        return None, 0
+        return None, {"rows": 0}
     path = f"{raw_dir.rstrip('/')}/run_ts={run_ts_text(run_ts)}"
     seen = Observation()
     # The default format would cut times to milliseconds.
     (
-        df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *_span(df))
         .write.option("timestampFormat", schemas.JSON_TIME)
         .json(path)
     )
-    return path, seen.get["rows"]
+    return path, seen.get
 
 
 def record_batch(
@@ -39,12 +61,29 @@ def record_batch(
     path: str | None,
     run_ts: dt.datetime | str,
     rows: int,
+    first_at: int | None = None,
+    last_at: int | None = None,
+    timeless: int | None = None,
 ) -> None:
-    """Publish a landed batch as the current one; ``rows=0`` says that the run had nothing new."""
+    """Publish a landed batch; ``rows=0`` says that the run had nothing new.
+
+    ``first_at`` and ``last_at`` are the least and greatest time of its events in microseconds
+    since 1970, ``timeless`` the number of events without a time; None where it is not known.
+    """
     entry = spark.sql(
         "SELECT :dataset AS dataset, CAST(:path AS STRING) AS path, :run_ts AS run_ts, "
-        "CAST(:rows AS BIGINT) AS rows",
-        args={"dataset": dataset, "path": path, "run_ts": run_ts_text(run_ts), "rows": rows},
+        "CAST(:rows AS BIGINT) AS rows, timestamp_micros(CAST(:first_at AS BIGINT)) AS first_at, "
+        "timestamp_micros(CAST(:last_at AS BIGINT)) AS last_at, "
+        "CAST(:timeless AS BIGINT) AS timeless",
+        args={
+            "dataset": dataset,
+            "path": path,
+            "run_ts": run_ts_text(run_ts),
+            "rows": rows,
+            "first_at": first_at,
+            "last_at": last_at,
+            "timeless": timeless,
+        },
     )
     entry.write.mode("append").parquet(batches)
 
@@ -53,6 +92,6 @@ def land_and_record(
     df: DataFrame, raw_dir: str, run_ts: dt.datetime | str, batches: str, dataset: str
 ) -> str | None:
     """Land, then publish. A failed landing raises and publishes nothing."""
-    path, rows = land_raw(df, raw_dir, run_ts)
-    record_batch(df.sparkSession, batches, dataset, path, run_ts, rows)
+    path, seen = _land(df, raw_dir, run_ts)
+    record_batch(df.sparkSession, batches, dataset, path, run_ts, **seen)
     return path

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playline.operators.lookup import broadcast_limit
-from playline.schemas import JSON_TIME
 
 PARTITION = "load_date"
+# Copies of one row that are made at a time.
+COPIES = 10_000
 
 
 class EmptySnapshotError(ValueError):
@@ -19,10 +21,13 @@ class EmptySnapshotError(ValueError):
 
 
 def read_table(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """A table by path. A folder that does not exist yet is created, and reads as empty."""
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("ignore").partitionBy(PARTITION).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    """A table by path. One that does not exist yet reads as empty; nothing is created."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def _write(df: DataFrame, path: str, mode: str) -> int:
@@ -55,74 +60,85 @@ def append_new(
 ) -> int:
     """Append only rows whose key the table does not hold yet; loading a batch twice is safe.
 
-    Within the batch the earliest row of a key wins. Rows without a key (null or empty), and all rows if ``key``
-    is None, are identified by their whole content. ``since`` limits the search for known keys
-    to that load date and later ones, for callers who know that older runs cannot return.
+    Within the batch the earliest row of a key wins. Rows without a key (null or empty), and all
+    rows if ``key`` is None, are told apart by their content: of rows alike, as many are added as
+    the batch holds more of them than the table. ``since`` limits the search to that load date and
+    later ones, for callers who know that older runs cannot return.
 
-    The stored keys are read once and, while the batch's keys fit a broadcast, not shuffled. The
-    batch is read three times, twice for its key only: persist it if it is costly to compute.
+    The batch's keys are counted once. Of the stored rows only the key is read, and it is not
+    shuffled while the batch's keys fit a broadcast; beyond that it is shuffled once.
     One writer at a time: plain Parquet has no transactions.
     """
-    rows, size, loose = df.agg(F.count(F.lit(1)), *_id_size(df, key)).first()
-    if not rows:
-        return 0
-    batch = df.withColumn("_id", _identity(df.columns, key) if loose else F.col(key))
     table = read_table(df.sparkSession, path, df.schema)
     if since is not None:
         table = table.where(F.col(PARTITION) >= F.lit(since))
-    hits = _known(_stored_ids(table, key, loose > 0), batch.select("_id"), size).persist()
+    if key is None:
+        return _write_any(_more_copies(df, table), path)
+    has_key = F.col(key).isNotNull() & (F.col(key) != "")
+    keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).persist()
+    # A few bytes of overhead a key, and its count.
+    width = (F.octet_length(key) + 32).cast("bigint")
+    size, loose, repeated = keys.agg(
+        F.sum(F.when(has_key, width)),
+        F.count_if(~has_key),
+        F.count_if(has_key & (F.col("_rows") > 1)),
+    ).first()
+    keyed = keys.where(has_key)
+    hits = known_keys(table.where(has_key).select(key), keyed.select(key), size or 0).persist()
     try:
-        fresh = _one_per_id(batch)
-        if hits.count():
-            fresh = fresh.join(hits, "_id", "left_anti")
-        return _write(fresh.drop("_id"), path, "append")
+        fresh = df.where(has_key)
+        if not hits.isEmpty():
+            fresh = fresh.join(hits, key, "left_anti")
+        if repeated:
+            fresh = first_per_key(fresh, keyed.where(F.col("_rows") > 1).select(key), key)
+        if loose:
+            fresh = fresh.unionByName(_more_copies(df.where(~has_key), table.where(~has_key)))
+        return _write_any(fresh, path)
     finally:
         hits.unpersist()
-
-
-def _id_size(df: DataFrame, key: str | None) -> tuple[Column, Column]:
-    """Aggregates: size of the ids in memory, and rows that have no key."""
-    digest = 68  # length of the id of a row without a key
-    if key is None:
-        return F.count(F.lit(1)) * (digest + 24), F.count(F.lit(1))
-    length = F.coalesce(F.octet_length(key), F.lit(digest)) + 24
-    return F.sum(length.cast("bigint")), F.count_if(F.col(key).isNull() | (F.col(key) == ""))
-
-
-def _identity(columns: list[str], key: str | None) -> Column:
-    fields = F.struct(*[c for c in columns if c != PARTITION])
-    content = F.to_json(fields, {"timestampFormat": JSON_TIME})
-    digest = F.concat(F.lit("row:"), F.sha2(content, 256))
-    return digest if key is None else F.coalesce(F.nullif(F.col(key), F.lit("")), digest)
-
-
-def _one_per_id(batch: DataFrame) -> DataFrame:
-    """One row per ``_id``. The least row by (received_at, then all columns) wins, so the choice
-    does not depend on row order; tasks reduce copies before the shuffle."""
-    columns = [c for c in batch.columns if c != "_id"]
-    first = ["received_at"] if "received_at" in columns else []
-    ordered = first + [c for c in columns if c not in first]
-    return (
-        batch.groupBy("_id")
-        .agg(F.min(F.struct(*ordered)).alias("_row"))
-        .select("_id", *[F.col(f"_row.{c}").alias(c) for c in columns])
+        keys.unpersist()
+
+
+def _write_any(df: DataFrame, path: str) -> int:
+    """Append; a first load without rows leaves no folder."""
+    return _write(df, path, "append") if not df.isEmpty() else 0
+
+
+def known_keys(stored: DataFrame, keys: DataFrame, size: int) -> DataFrame:
+    """The batch's keys that are stored already. ``size`` is measured and bounds the broadcast."""
+    column = keys.columns[0]
+    if size <= broadcast_limit(keys):
+        return stored.join(F.broadcast(keys), column, "left_semi")
+    return keys.join(stored, column, "left_semi")
+
+
+def first_per_key(rows: DataFrame, repeated: DataFrame, key: str) -> DataFrame:
+    """One row per key. Only rows of repeated keys are sorted: the least by received_at, then by
+    all columns, is kept, so the choice does not depend on row order. Spark applies the rank limit
+    in each task before the shuffle, so a key with very many copies does not meet in one task."""
+    first = [c for c in rows.columns if c == "received_at"]
+    order = [F.col(c).asc() for c in [*first, *[c for c in rows.columns if c not in first]]]
+    ranked = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    many = rows.join(repeated, key, "left_semi").withColumn("_rank", ranked)
+    once = rows.join(repeated, key, "left_anti")
+    return once.unionByName(many.where(F.col("_rank") == 1).drop("_rank"))
+
+
+def _more_copies(df: DataFrame, table: DataFrame) -> DataFrame:
+    """Of rows alike (but for the load date), those that ``df`` has more of than ``table``."""
+    content = [c for c in df.columns if c != PARTITION]
+    new = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_rows")).alias("new")
+    old = table.groupBy(*content).agg(F.count(F.lit(1)).alias("_stored")).alias("old")
+    same = [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in content]
+    more = F.col("_rows") - F.coalesce("_stored", F.lit(0))
+    missing = new.join(old, same, "left").select("new.*", more.alias("_more"))
+    # Copies in blocks: no array grows with their number, and blocks spread over the tasks.
+    blocks = (
+        missing.where(F.col("_more") > 0)
+        .withColumn("_last", F.floor((F.col("_more") - 1) / COPIES))
+        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), "_last")))
+        .repartition(*content, "_block")
     )
-
-
-def _stored_ids(table: DataFrame, key: str | None, loose: bool) -> DataFrame:
-    """Ids of the table's rows: the key column alone where there is a key. Whole rows are read
-    only if the batch has rows without a key, and then only those without one (Parquet skips row
-    groups that have no nulls)."""
-    whole = _identity(table.columns, key).alias("_id")
-    if key is None:
-        return table.select(whole)
-    keyless = F.col(key).isNull() | (F.col(key) == "")
-    ids = table.where(~keyless).select(F.col(key).alias("_id"))
-    return ids.unionByName(table.where(keyless).select(whole)) if loose else ids
-
-
-def _known(stored: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """The batch's ids that are stored already. ``size`` is measured and bounds the broadcast."""
-    if size <= broadcast_limit(ids):
-        return stored.join(F.broadcast(ids), "_id", "left_semi").distinct()
-    return stored.distinct().join(ids.distinct(), "_id", "left_semi")
+    here = F.least(F.lit(COPIES), F.col("_more") - F.col("_block") * COPIES).cast("int")
+    copies = blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1), here)))
+    return copies.select(*df.columns)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playline import schemas
+from playline.operators.filters import as_instant
+from playline.sinks.tables import read_table
 
 STAMP = r"_(\d{8}_\d{6})\.json$"
 
@@ -27,10 +31,52 @@ def raw_files(spark: SparkSession, raw_dir: str) -> DataFrame:
     )
 
 
+def array_files(spark: SparkSession, raw_dir: str) -> list[str]:
+    """Glob of the array files of a folder, as a list; an empty one if there is none."""
+    path = f"{raw_dir}/*.json"
+    found = _first(lambda: spark.read.format("binaryFile").load(path).select("path"))
+    return [path] if found else []
+
+
 def landed_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.LANDED_BATCHES).parquet(path)
 
 
+def _paths(batches: DataFrame) -> list[str]:
+    """Folders of some landed batches: one per run, so as few as a listing of their files."""
+    return [row.path for row in batches.select("path").distinct().collect()]
+
+
+def overlapping_batches(
+    spark: SparkSession, path: str, dataset: str, after=None, until=None
+) -> list[str]:
+    """Folders of the published batches that can hold events after the one time and not after the
+    other, or events without a usable time. Batches of unknown times count in."""
+    inside = F.lit(True)
+    if after is not None:
+        inside &= F.col("last_at") > as_instant(after)
+    if until is not None:
+        inside &= F.col("first_at") <= as_instant(until)
+    unknown = F.col("timeless").isNull()
+    mine = (F.col("dataset") == dataset) & (F.col("rows") > 0)
+    chosen = mine & (unknown | (F.col("timeless") > 0) | inside)
+    return _paths(landed_batches(spark, path).where(chosen))
+
+
+def unloaded_batches(spark: SparkSession, path: str, dataset: str, loaded: str) -> list[str]:
+    """Folders of the published batches that the table ``loaded`` does not list."""
+    landed = landed_batches(spark, path).where((F.col("dataset") == dataset) & (F.col("rows") > 0))
+    done = read_table(spark, loaded, schemas.LOADED_BATCHES)
+    return _paths(landed.join(done, ["dataset", "path"], "left_anti"))
+
+
+def record_loaded(
+    spark: SparkSession, loaded: str, dataset: str, paths: list[str], day: dt.date
+) -> None:
+    rows = [(dataset, path, day) for path in paths]
+    spark.createDataFrame(rows, schemas.LOADED_BATCHES).coalesce(1).write.mode("append").parquet(loaded)
+
+
 def _first(df_of):
     """First row, or None where there is none or the folder does not exist."""
     try:

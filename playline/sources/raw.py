@@ -9,6 +9,8 @@ kept as a record with ``_corrupt_record``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,10 +75,20 @@ def parse_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_events(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
-    """One increment of events: a file, or a folder of them (subfolders are not entered)."""
-    schema, options = event_options(layout or layout_of(path))
-    return parse_events(spark.read.schema(schema).options(**options).json(path))
+def read_events(
+    spark: SparkSession, path: str | list[str], layout: str | None = None
+) -> DataFrame:
+    """Events of a file, a folder of them (subfolders are not entered), or several of these."""
+    paths = [path] if isinstance(path, str) else path
+    parts = []
+    for chosen in ("lines", "array"):
+        mine = [p for p in paths if (layout or layout_of(p)) == chosen]
+        if mine:
+            schema, options = event_options(chosen)
+            parts.append(parse_events(spark.read.schema(schema).options(**options).json(mine)))
+    if not parts:
+        raise ValueError("no path of events, or an unknown layout")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_pages(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:

@@ -6,8 +6,16 @@ from conftest import event, media
 from playline import schemas
 from playline.operators.project import project_events
 from playline.plans import reports
-from playline.plans.jobs import build_dim_media, build_fact_events, run_daily, table_path
-from playline.sinks.landing import land_and_record
+from playline.plans.jobs import (
+    MissingTableError,
+    build_dim_media,
+    build_engagement,
+    build_fact_events,
+    run_daily,
+    table_path,
+)
+from playline.sinks.landing import land_and_record, land_raw
+from playline.sources.batches import overlapping_batches
 from playline.sinks.tables import EmptySnapshotError
 from playline.sources.raw import read_events
 from playline.streaming.events import stream_deduplicated, stream_events
@@ -228,3 +236,72 @@ def test_deduplicating_stream_keeps_rejects_and_keyless_events(spark, raw, tmp_p
         facts = spark.read.parquet(f"{out}/processed/fact_events")
         assert sorted(r.ip for r in facts.collect()) == ["1", "10.0.0.1", "2", "3", "4"]
         assert spark.read.parquet(f"{out}/processed/rejected_events").count() == 1
+
+
+def land(spark, raw, log, stamp_text, *records, publish=True):
+    file = raw.write(f"sent/{stamp_text}.json", list(records))
+    events = project_events(read_events(spark, file))
+    folder = str(raw.root / "raw_data/events")
+    if publish:
+        return land_and_record(events, folder, stamp_text, log, "events")
+    return land_raw(events, folder, stamp_text)[0]
+
+
+def test_every_unloaded_batch_is_loaded_once(spark, raw, place, tmp_path):
+    log = str(tmp_path / "landed")
+    land(spark, raw, log, "20240129_235000", event("a"))
+    land(spark, raw, log, "20240130_235000", event("b"))
+    assert build_fact_events(spark, *place, "2024-01-30", batches=log) == 2
+    assert build_fact_events(spark, *place, "2024-01-30", batches=log) is None
+    land(spark, raw, log, "20240131_235000", event("b"), event("c"))
+    assert build_fact_events(spark, *place, "2024-01-31", batches=log) == 1
+
+
+def test_range_load_reads_overlapping_published_batches_and_array_files(spark, raw, place, tmp_path):
+    log = str(tmp_path / "landed")
+    at = lambda key, day: event(key, received_at=f"2024-01-{day}T10:00:00Z")
+    early = land(spark, raw, log, "20240110_235000", at("early", 10))
+    land(spark, raw, log, "20240120_235000", at("in", 20))
+    timeless = land(spark, raw, log, "20240125_235000", event("bad", received_at=None))
+    land(spark, raw, log, "20240121_235000", at("unpublished", 20), publish=False)
+    raw.events("20240122_235000", [at("array", 20), at("array-early", 10)])
+    span = {"from_ts": dt.datetime(2024, 1, 15), "to_ts": dt.datetime(2024, 1, 31)}
+    chosen = overlapping_batches(spark, log, "events", *span.values())
+    assert len(chosen) == 2 and timeless in chosen and early not in chosen
+    files = read_events(spark, chosen).inputFiles()
+    assert files and not any("20240110" in f for f in files)
+    assert build_fact_events(spark, *place, "2024-01-31", batches=log, **span) == 2
+    assert rows(spark, place[1], "fact_events", "event_key") == [("array",), ("in",)]
+    rejects = spark.read.parquet(table_path(place[1], "rejected_events"))
+    assert [r.event_key for r in rejects.collect()] == ["bad"]
+
+
+def test_a_bad_percentage_is_stored_without_it_and_kept_in_full(spark, raw, place):
+    raw.events("20240130_235000", [event("a", percent_viewed="n/a"), event("b", received_at="oops")])
+    for _ in range(2):
+        build_fact_events(spark, *place, "2024-01-30")
+    assert rows(spark, place[1], "fact_events", "event_key", "percent_viewed") == [("a", None)]
+    rejects = spark.read.schema(schemas.REJECTED_EVENTS).parquet(table_path(place[1], "rejected_events"))
+    found = {r.event_key: (r.reason, r._corrupt_record) for r in rejects.collect()}
+    assert rejects.count() == 2 and found["b"][0] == "no usable received_at"
+    assert found["a"][0] == "unusable value" and '"percent_viewed":"n/a"' in found["a"][1]
+    assert log(spark, place[1])[0] == ("rejected_events", "2024-01-30", "ok", 2)
+
+
+def test_engagement_is_not_built_from_nothing(spark, raw, place, tmp_path):
+    raw.media("20240130_235000", [media(1)])
+    raw.events("20240130_235000", [event("a")])
+    run_daily(spark, *place, "2024-01-30")
+    nowhere = tmp_path / "nowhere"
+    with pytest.raises(MissingTableError):
+        build_engagement(spark, str(nowhere), "2024-01-30")
+    assert not nowhere.exists()
+    assert spark.table("media_analytics.fact_media_engagement").count() == 1
+    other = str(tmp_path / "other")
+    build_dim_media(spark, place[0], other, "2024-01-30")
+    with pytest.raises(MissingTableError):
+        build_engagement(spark, other, "2024-01-30")
+    assert spark.table("media_analytics.dim_media").count() == 1
+    build_fact_events(spark, place[0], other, "2024-01-30")
+    with pytest.raises(ValueError, match="another place"):
+        build_engagement(spark, other, "2024-01-30")

@@ -92,13 +92,40 @@ def test_earliest_of_a_key_wins(spark, tmp_path):
 
 
 def test_rows_without_a_key_are_told_apart_by_content(spark, tmp_path):
+    """Rows alike count: as many are added as the batch has more of them than the table."""
     path = str(tmp_path / "t")
     micro = [(None, TEN.replace(microsecond=m), 1.0) for m in (1, 2, 2)]
     df = spark.createDataFrame([*micro, (None, TEN, None), ("a", TEN, 1.0)], COLUMNS)
-    assert append_new(df.transform(stamp, "2024-01-29"), path) == 4
+    assert append_new(df.transform(stamp, "2024-01-29"), path) == 5
     assert append_new(df.transform(stamp, "2024-01-30"), path) == 0
+    three = spark.createDataFrame([micro[2]] * 3, COLUMNS)
+    assert append_new(three.transform(stamp, "2024-01-30"), path) == 1
     assert append_new(batch(spark, (None, 7.0)), path) == 1
-    assert len(stored(spark, path)) == 5
+    assert append_new(batch(spark, ("", 7.0), ("", 7.0), ("", 8.0)), path) == 3
+    assert len(stored(spark, path)) == 10
+
+
+def test_very_many_copies_without_a_key(spark, tmp_path):
+    df = spark.range(25_001).select(
+        F.lit(None).cast("string").alias("event_key"), F.lit(TEN).alias("received_at"),
+        F.lit(1.0).alias("n")).transform(stamp, "2024-01-30")
+    assert append_new(df, str(tmp_path / "t")) == 25_001
+    assert append_new(df, str(tmp_path / "t")) == 0
+
+
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_keyed_append_sorts_only_repeated_keys(spark, settings, limit):
+    """Neither stored keys nor the batch's are aggregated by sorting."""
+    from conftest import plan
+    from playline.sinks.tables import first_per_key, known_keys
+
+    settings(playline__lookup__broadcastBytes=limit, spark__sql__autoBroadcastJoinThreshold=-1)
+    df = batch(spark, *[(str(n % 7), float(n)) for n in range(20)])
+    keys = df.groupBy("event_key").agg(F.count(F.lit(1)).alias("_rows"))
+    hits = plan(known_keys(df.select("event_key"), keys.select("event_key"), 100))
+    assert "SortAggregate" not in hits and ("Broadcast" in hits) == (limit > 0)
+    text = plan(first_per_key(df, keys.where("_rows > 1").select("event_key"), "event_key"))
+    assert "SortAggregate" not in text and "WindowGroupLimit" in text
 
 
 def test_hot_key_and_copies(spark, tmp_path):
@@ -141,3 +168,15 @@ def test_registered_table_follows_the_folder(spark, tmp_path):
 def test_schemas_parse(spark):
     for schema in schemas.TABLES.values():
         assert spark.createDataFrame([], schema).columns[-1] == "load_date"
+
+
+def test_a_registered_name_moves_only_when_told_to(spark, tmp_path):
+    schema = f"{COLUMNS}, load_date DATE"
+    for name in ("t", "it's"):
+        write_append(batch(spark, (name, 1.0)), str(tmp_path / name))
+    register(spark, "checks", "moving", str(tmp_path / "t"), schema)
+    with pytest.raises(ValueError):
+        register(spark, "checks", "moving", str(tmp_path / "it's"), schema, move=False)
+    assert spark.table("checks.moving").first().event_key == "t"
+    register(spark, "checks", "moving", str(tmp_path / "it's"), schema)
+    assert spark.table("checks.moving").first().event_key == "it's"
