@@ -81,18 +81,18 @@ def raw_events(spark: SparkSession, sf_dir: str, country: bool = False) -> DataF
 
 
 def media_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Media of which the small ones have an empty hashed_id and the large ones none."""
+    """Media of which the small ones have an empty hashed_id and the large ones none; of the others
+    some have one that no event carries."""
     return table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS media_id",
-        f"CASE WHEN p_size < 6 THEN '' WHEN p_size <= 45 THEN {hashed('p_partkey')} END"
-        " AS hashed_id",
+        f"CASE WHEN p_size < 6 THEN '' WHEN p_size < 12 THEN {hashed('-p_partkey')}"
+        f" WHEN p_size <= 45 THEN {hashed('p_partkey')} END AS hashed_id",
     )
 
 
 def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics per media, as the raw JSON object, from views of at least half the length."""
-    events = raw_events(spark, sf_dir).where(F.col("percent_viewed") >= 50)
-    counts = events.groupBy("media_id").agg(
+    """Statistics per media, as the raw JSON object."""
+    counts = raw_events(spark, sf_dir).groupBy("media_id").agg(
         F.count(F.lit(1)).alias("plays"), F.count_distinct("visitor_key").alias("visitors")
     )
     return counts.select("media_id", F.to_json(F.struct("plays", "visitors")).alias("engagement"))

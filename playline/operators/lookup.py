@@ -1,42 +1,13 @@
-"""Joins of a large table to a lookup table, safe for hot keys and for lookups of any size."""
+"""Joins of a large table to a lookup table of any size."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playline.session import stage
-
-# All three can be set in the session.
-# A lookup that the plan estimates at no more than this is left to Spark, without a measurement.
-TINY_BYTES = ("playline.lookup.tinyBytes", 1024 * 1024)
-# A lookup up to this measured size is broadcast.
+# A lookup up to this measured size is broadcast. Can be set in the session.
 BROADCAST_BYTES = ("playline.lookup.broadcastBytes", 64 * 1024 * 1024)
-# A key with at least this many rows counts as hot. It bounds both the rows one join task gets
-# for a key and the number of hot keys (rows of the table / HOT_ROWS).
-HOT_ROWS = ("playline.lookup.hotRows", 5_000_000)
-# Keys are counted on a sample in which a hot key has about this many rows. The sample only picks
-# the way a key is joined, and both ways are exact; counting all rows would shuffle one count per
-# key and task, which with many keys is nearly the table.
-SAMPLED_ROWS = 10_000
-
-
-def _setting(df: DataFrame, setting: tuple[str, int]) -> int:
-    key, default = setting
-    return int(df.sparkSession.conf.get(key, str(default)))
-
-
-def estimated_bytes(df: DataFrame) -> float:
-    """What the planner expects, from file sizes; runs no job."""
-    text = df.sparkSession.sql("EXPLAIN COST SELECT * FROM {df}", df=df).first()[0]
-    found = re.search(r"sizeInBytes=([\d.E+]+) ([KMGTPE]?)i?B", text)
-    if not found:
-        return float("inf")
-    size, unit = found.groups()
-    return float(size) * 1024 ** " KMGTPE".index(unit or " ")
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -51,7 +22,8 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    return _setting(df, BROADCAST_BYTES)
+    key, default = BROADCAST_BYTES
+    return int(df.sparkSession.conf.get(key, str(default)))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -64,53 +36,15 @@ def lookup_join(
     """Join ``facts`` to ``lookup`` on equally named columns; ``how`` is inner, left,
     left_semi or left_anti.
 
-    ``computed`` says that the lookup is the result of an aggregation and not just read: unless
-    it is tiny, it is then computed once, for both the measurement and the join.
-
-    * A tiny lookup is Spark's to broadcast.
-    * One that measures small is broadcast: the facts are not shuffled, so no key can be hot.
-    * Otherwise the facts are shuffled, but for hot keys: few by construction, so their lookup
-      rows are broadcast (measured again) and their facts stay where they are.
+    A lookup that is just read is measured, by a scan of the columns it needs. If it is small, it
+    is broadcast: the facts are not shuffled, so no key can be hot. Otherwise, and for a
+    ``computed`` lookup, which measuring would compute twice, the runtime chooses by real sizes,
+    and splits the partitions of hot keys (``session.SETTINGS``). The facts are read once.
     """
-    if how in ("left_semi", "left_anti"):
+    semi = how in ("left_semi", "left_anti")
+    if semi:
         lookup = lookup.select(*on)
-    columns = facts.columns + [c for c in lookup.columns if c not in on]
-    if how in ("left_semi", "left_anti"):
-        columns = facts.columns
-    if estimated_bytes(lookup) <= _setting(facts, TINY_BYTES):
-        return facts.join(lookup, on, how).select(*columns)
-    if computed:
-        lookup = stage(lookup, "lookup")
-    if fits_broadcast(lookup):
-        return facts.join(F.broadcast(lookup), on, how).select(*columns)
-
-    hot_rows = _setting(facts, HOT_ROWS)
-    fraction = min(1.0, SAMPLED_ROWS / hot_rows)
-    keys = facts.select(*[F.col(c).alias(f"_hot_{c}") for c in on])
-    if fraction < 1:
-        keys = keys.sample(fraction, seed=1)
-    counts = keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(F.col("_rows") >= hot_rows * fraction).drop("_rows")
-    hot = stage(hot, "hot-keys")
-    if hot.isEmpty():
-        return facts.join(lookup, on, how).select(*columns)
-
-    def is_hot(df: DataFrame):
-        # Null-safe: rows without a key may be a hot group too.
-        same = [df[c].eqNullSafe(hot[f"_hot_{c}"]) for c in on]
-        condition = same[0]
-        for part in same[1:]:
-            condition = condition & part
-        return condition
-
-    hot_lookup = lookup.join(F.broadcast(hot), is_hot(lookup), "left_semi")
-    if not fits_broadcast(hot_lookup):
-        # A hot key with very many lookup rows: left to the runtime's split of hot partitions.
-        return facts.join(lookup, on, how).select(*columns)
-    hot_facts = facts.join(F.broadcast(hot), is_hot(facts), "left_semi")
-    rest = facts.join(F.broadcast(hot), is_hot(facts), "left_anti")
-    return (
-        hot_facts.join(F.broadcast(hot_lookup), on, how)
-        .select(*columns)
-        .unionByName(rest.join(lookup, on, how).select(*columns))
-    )
+    extra = [] if semi else [c for c in lookup.columns if c not in on]
+    if not computed and fits_broadcast(lookup):
+        lookup = F.broadcast(lookup)
+    return facts.join(lookup, on, how).select(*facts.columns, *extra)

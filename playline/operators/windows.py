@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playline.session import stage
 
@@ -23,6 +24,7 @@ def paginate(
     partitions. Equal rows are spread too, by the running id that ends the sort key.
     """
     columns = df.columns
+    fields = [_hashable(field) for field in df.schema]
     # Computed once as columns: a sort would compute an expression again at every comparison.
     keys = {f"_order{i}": F.col(k) if isinstance(k, str) else k for i, k in enumerate(order)}
     extra = [*keys, "_tie", "_seq"]
@@ -30,7 +32,7 @@ def paginate(
     sort_key = [*[F.col(c).asc() for c in by], *ordered, F.col("_tie").asc(), F.col("_seq").asc()]
     placed = (
         df.withColumns(
-            {**keys, "_tie": F.xxhash64(*columns), "_seq": F.monotonically_increasing_id()}
+            {**keys, "_tie": F.xxhash64(*fields), "_seq": F.monotonically_increasing_id()}
         )
         .repartitionByRange(*sort_key)
         .sortWithinPartitions(*sort_key)
@@ -58,6 +60,12 @@ def paginate(
     return joined.select(*columns, page.cast("bigint").alias("page"))
 
 
+def _hashable(field: T.StructField) -> Column:
+    """The column, or its JSON text where it holds a VARIANT, which can't be hashed."""
+    column = F.col(f"`{field.name}`")
+    return F.to_json(column) if "variant" in field.dataType.simpleString() else column
+
+
 def build_dim_visitor(events: DataFrame) -> DataFrame:
     """One row per visitor, from the visitor's latest event (ties: the greater event key).
 

@@ -30,13 +30,15 @@ WITH media AS (
          watch_time_seconds, DATE '2024-01-30' AS load_date
   FROM joined
 ), gaps AS (
-  SELECT media_id, CASE WHEN p_size < 6 THEN '' WHEN p_size <= 45 THEN hashed_id END AS hashed_id
+  SELECT media_id, CASE WHEN p_size < 6 THEN ''
+                        WHEN p_size < 12 THEN left(md5(CAST(-media_id AS VARCHAR)), 10)
+                        WHEN p_size <= 45 THEN hashed_id END AS hashed_id
   FROM media
 ), keyed AS (
   SELECT * FROM gaps WHERE hashed_id IS NOT NULL AND hashed_id <> ''
 ), stats AS (
   SELECT media_id, count(*) AS plays, count(DISTINCT visitor_key) AS visitors
-  FROM ev WHERE percent_viewed >= 50 GROUP BY media_id
+  FROM ev GROUP BY media_id
 ), found AS (
   SELECT hashed_id AS media_id, plays,
          '{"plays":' || plays || ',"visitors":' || visitors || '}' AS engagement,
@@ -126,7 +128,7 @@ BODIES = {
                     ELSE '20240130_235000' END AS run_ts, count(*) AS rows
         FROM ev GROUP BY 2
         UNION ALL SELECT 'events', '20240131_235000', 0""",
-    "landed_pages": "SELECT source, CAST(page AS INTEGER) AS page, event_key, received_at FROM kept",
+    "landed_pages": "SELECT source, page, event_key, received_at FROM kept",
     "landed_engagement": "SELECT media_id, plays FROM found WHERE error IS NULL",
     "landed_visitors": """
         SELECT visitor_key, count(*) AS load_count, max(percent_viewed) AS best_percent
@@ -157,6 +159,24 @@ BODIES = {
         SELECT event_key, 'no usable received_at' AS reason
         FROM ev WHERE source IN ('error', 'signup')""",
     "two_batches_one_run": LOADED,
+    "paged_null_source": """
+        SELECT CASE WHEN source <> 'error' THEN source END AS source, event_key, page FROM paged""",
+    "landed_media_pages": """
+        SELECT media_id AS id, title AS name, url, duration, hashed_id,
+               CAST(floor((row_number() OVER (ORDER BY media_id) - 1) / 100) AS BIGINT) + 1 AS page
+        FROM media""",
+    "landed_visitor_pages": """
+        SELECT visitor_key, load_count, CAST(floor(
+                 (row_number() OVER (ORDER BY visitor_key) - 1) / 100) AS BIGINT) + 1 AS page
+        FROM (SELECT visitor_key, count(*) AS load_count FROM ev GROUP BY visitor_key)""",
+    "pointer_load": f"""
+        SELECT {EVENT}, DATE '2024-01-30' AS load_date, true AS others_skipped FROM ev""",
+    "events_of_last_day": """
+        SELECT event_key, received_at FROM ev
+        WHERE received_at > (SELECT date_trunc('day', max(received_at)) FROM ev)""",
+    "media_of_today": "SELECT media_id, true AS is_today FROM media",
+    "empty_append": """
+        SELECT DATE '2024-01-30' AS load_date, count(*) AS events FROM ev""",
     "events_append": """
         SELECT event_key, DATE '2024-01-30' AS load_date FROM ev
         UNION ALL

@@ -23,7 +23,7 @@ from playline.bindings import (
     stats,
     table,
 )
-from playline.functions import raw_key, run_stamp
+from playline.functions import raw_key, run_stamp, utc_day
 from playline.operators.filters import (
     for_media,
     received_after,
@@ -40,11 +40,12 @@ from playline.operators.project import (
     stamp,
 )
 from playline.operators.sets import union_all
-from playline.operators.windows import build_dim_visitor
+from playline.operators.windows import build_dim_visitor, paginate
 from playline.plans import reports
 from playline.plans.jobs import (
     DB,
     EVENTS_DIR,
+    EVENTS_POINTER,
     MEDIA_DIR,
     build_fact_events,
     refresh,
@@ -127,6 +128,21 @@ def events_received_after(spark, sf):
     return received_after(events, ntz(MIDDLE), ntz(CUTOFF))
 
 
+@query
+def events_of_last_day(spark, sf):
+    """The default cutoff, midnight of the day in UTC, taken from the data's last event."""
+    events = raw_events(spark, sf).select("event_key", "received_at").transform(_instants)
+    (midnight,) = events.agg(utc_day(F.max("received_at")).alias("day").cast("string")).first()
+    return received_after(events, F.lit(midnight).cast("timestamp")).transform(_zoneless)
+
+
+@query
+def media_of_today(spark, sf):
+    """Without a run date, rows carry the current date."""
+    today = (F.col("load_date") == F.current_date()).alias("is_today")
+    return stamp(_dim(spark, sf)).select("media_id", today)
+
+
 @query
 def events_for_media(spark, sf):
     """The allowlist as a short list of ids: choosing them is the operator itself."""
@@ -293,12 +309,81 @@ def landed_pages(spark, sf):
     numbered = pages(spark, sf).transform(_instants)
     writer = numbered.write.partitionBy("source", "page")
     writer.option("timestampFormat", schemas.JSON_TIME).json(path)
-    landed = read_pages(spark, path, layout="lines")
+    landed = read_pages(spark, path, "lines", folders="source STRING, page BIGINT")
     fresh = F.col("received_at") > F.lit(CUTOFF).cast("timestamp")
     kept = until_empty_page(landed, fresh, ["source"])
     return kept.select("source", "page", "event_key", "received_at").transform(_zoneless)
 
 
+def _page_folders(numbered, path, columns):
+    """Each page as one JSON array in a folder of its own (at most 100 objects)."""
+    record = F.struct(*columns)
+    arrays = numbered.groupBy("page").agg(
+        F.to_json(F.collect_list(record), {"timestampFormat": schemas.JSON_TIME}).alias("value")
+    )
+    arrays.write.partitionBy("page").text(path)
+
+
+@query
+def paged_null_source(spark, sf):
+    """Pages of a source that has no name, beside those of the others."""
+    events = raw_events(spark, sf).select(
+        F.when(F.col("source") != "error", F.col("source")).alias("source"), "event_key"
+    )
+    return paginate(events, ["source"], [F.md5("event_key")])
+
+
+@query
+def landed_media_pages(spark, sf):
+    """Media landed as pages of JSON arrays, read back."""
+    path = scratch_path(spark, "media-pages")
+    numbered = paginate(raw_media(spark, sf), [], ["id"])
+    _page_folders(numbered, path, ["id", "name", "thumbnail", "duration", "hashed_id"])
+    media = read_pages(spark, path, dataset="media")
+    return media.select("page", "id", "name", F.col("thumbnail.url").alias("url"), "duration",
+                        "hashed_id")
+
+
+@query
+def landed_visitor_pages(spark, sf):
+    """Visitors landed as pages of JSON arrays, read back."""
+    path = scratch_path(spark, "visitor-pages")
+    visitors = raw_events(spark, sf).groupBy("visitor_key").agg(
+        F.count(F.lit(1)).alias("load_count")
+    )
+    _page_folders(paginate(visitors, [], ["visitor_key"]), path, ["visitor_key", "load_count"])
+    return read_pages(spark, path, dataset="visitors").select(
+        "page",
+        F.try_variant_get("visitor", "$.visitor_key", "string").alias("visitor_key"),
+        F.try_variant_get("visitor", "$.load_count", "bigint").alias("load_count"),
+    )
+
+
+def _point(spark, root, key):
+    """The pointer, as a folder of the pointer file's name, which reads alike."""
+    place = f"{root}/{EVENTS_POINTER}"
+    pointer = spark.sql("SELECT CAST(:key AS STRING) AS latest_s3_key", args={"key": key})
+    pointer.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(place)
+
+
+@query
+def pointer_load(spark, sf):
+    """Array files that a pointer names are loaded; a null pointer, and then none, load nothing."""
+    root = scratch_path(spark, "pointer")
+    key = f"{EVENTS_DIR}/player_events_{RUN_TS}.json"
+    events = project_events(raw_events(spark, sf, country=True)).transform(_instants)
+    _page_folders(paginate(events, [], ["event_key"]), f"{root}/{key}", events.columns)
+    _point(spark, root, key)
+    build_fact_events(spark, root, root, RUN_DATE)
+    _point(spark, root, None)
+    skipped = [
+        build_fact_events(spark, raw_root, root, "2024-01-31", keyed=False) is None
+        for raw_root in (root, f"{root}/none")
+    ]
+    stored = _stored(spark, root, "fact_events", schemas.FACT_EVENTS).transform(_zoneless)
+    return stored.withColumn("others_skipped", F.lit(all(skipped)))
+
+
 @query
 def landed_engagement(spark, sf):
     """Raw engagement files: objects whose fields only the reader of a report names."""
@@ -372,6 +457,17 @@ def events_append(spark, sf):
     return spark.read.parquet(path).select("event_key", "load_date")
 
 
+@query
+def empty_append(spark, sf):
+    """An append without rows leaves no load date behind."""
+    path = scratch_path(spark, "append-empty")
+    write_append(_whole(spark, sf).transform(stamp, RUN_DATE), path)
+    write_append(_whole(spark, sf).where(F.lit(False)).transform(stamp, "2024-01-31"), path)
+    root = scratch_path(spark, "land-empty")
+    land_raw(_whole(spark, sf).where(F.lit(False)), root, RUN_TS)
+    return spark.read.parquet(path).groupBy("load_date").agg(F.count(F.lit(1)).alias("events"))
+
+
 @query
 def events_append_new(spark, sf):
     """The same two batches, by key: each event once, under the date of its first run."""

@@ -25,7 +25,10 @@ def _watched():
 
 
 def _avg_percent():
-    return F.round(F.avg("percent_viewed"), 6).alias("avg_percent_viewed")
+    """From an exact sum, so that it does not depend on the order of the rows."""
+    percent = F.col("percent_viewed").cast("decimal(18,9)")
+    mean = F.sum(percent) / F.count(percent)
+    return F.round(mean, 6).cast("double").alias("avg_percent_viewed")
 
 
 def _events():

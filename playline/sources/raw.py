@@ -32,22 +32,23 @@ def _json_options(layout: str) -> dict:
 
 def read_media(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
     """One media snapshot. Any broken record raises, since the snapshot replaces the dimension."""
-    raw = (
-        spark.read.schema(schemas.RAW_MEDIA)
-        .options(**_json_options(layout or layout_of(path)), mode="FAILFAST")
-        .json(path)
-    )
-    return raw.select(
-        F.col("id").try_cast("bigint").alias("id"),
-        "name",
-        "thumbnail",
-        parse_number(F.col("duration")).alias("duration"),
-        parse_time(F.col("created")).alias("created"),
-        parse_time(F.col("updated")).alias("updated"),
-        "hashed_id",
+    options = _json_options(layout or layout_of(path))
+    return parse_media(
+        spark.read.schema(schemas.RAW_MEDIA).options(**options, mode="FAILFAST").json(path)
     )
 
 
+def parse_media(raw: DataFrame) -> DataFrame:
+    """Typed media; a value that does not parse is null."""
+    typed = {
+        "id": F.col("id").try_cast("bigint"),
+        "duration": parse_number(F.col("duration")),
+        "created": parse_time(F.col("created")),
+        "updated": parse_time(F.col("updated")),
+    }
+    return raw.select(*[typed.get(c, F.col(c)).alias(c) for c in raw.columns])
+
+
 def event_options(layout: str) -> tuple[str, dict]:
     """Schema and reader options of raw events, the same for batch and stream."""
     options = _json_options(layout)
@@ -91,13 +92,39 @@ def read_events(
     return reduce(DataFrame.unionByName, parts)
 
 
-def read_pages(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
-    """Events landed page by page in folders ``…/page=N/``, with the column ``page``.
+def read_pages(
+    spark: SparkSession,
+    path: str,
+    layout: str = "array",
+    dataset: str = "events",
+    folders: str | None = None,
+) -> DataFrame:
+    """Events, media or visitors landed page by page in folders ``…/page=N/``.
 
-    Folders above ``page=N``, such as ``media=…``, become columns too.
+    ``folders`` names and types all folders, which become columns; nothing is inferred, so that
+    text such as ``media=0012`` stays as it is. By default, events lie in ``media=…/page=N/`` and
+    the others in ``page=N/``.
     """
-    schema, options = event_options(layout)
-    return parse_events(spark.read.schema(schema).options(**options).json(path))
+    folders = folders or ("media STRING, page BIGINT" if dataset == "events" else "page BIGINT")
+    if dataset == "visitors":
+        pages = read_visitors(spark, path, layout)
+        # Such pages have no fixed schema to put the folders in; this is the file's own path.
+        names = [column.split()[0] for column in folders.split(", ")]
+        types = [column.split()[1] for column in folders.split(", ")]
+        file = F.col("_metadata.file_path")
+        places = [
+            F.url_decode(F.regexp_extract(file, f"/{name}=([^/]*)/", 1)).cast(kind).alias(name)
+            for name, kind in zip(names, types)
+        ]
+        return pages.select("visitor", *places)
+    if dataset == "media":
+        schema, options = schemas.RAW_MEDIA, {**_json_options(layout), "mode": "FAILFAST"}
+    elif dataset == "events":
+        schema, options = event_options(layout)
+    else:
+        raise ValueError(f"dataset must be events, media or visitors, not {dataset!r}")
+    raw = spark.read.schema(f"{schema}, {folders}").options(**options).json(path)
+    return parse_media(raw) if dataset == "media" else parse_events(raw)
 
 
 def read_engagement(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:

@@ -24,24 +24,16 @@ def test_small_dimension_is_broadcast_and_events_are_not_shuffled(spark):
 
 
 def test_large_dimension_is_never_broadcast(spark, settings):
-    settings(playline__lookup__tinyBytes=0, playline__lookup__broadcastBytes=0, spark__sql__autoBroadcastJoinThreshold=-1)
+    settings(playline__lookup__broadcastBytes=0, spark__sql__autoBroadcastJoinThreshold=-1)
     text = plan(fact(spark))
     assert "Broadcast" not in text and "SortMergeJoin" in text
 
 
-def test_hot_media_stay_out_of_the_shuffle(spark, settings):
-    """Hot facts join a broadcast of their few lookup rows, the rest is shuffled."""
-    settings(playline__lookup__tinyBytes=0, playline__lookup__broadcastBytes=4000, playline__lookup__hotRows=200)
-    facts = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("h1")).otherwise(F.concat(F.lit("h"), F.col("id"))).alias("media_id"),
-        F.lit(1.0).alias("percent_viewed"), F.lit("v").alias("visitor_key"),
-        F.col("id").cast("string").alias("event_key"), F.current_timestamp().alias("received_at"))
-    media = spark.range(1000).select(
-        F.concat(F.lit("h"), F.col("id")).alias("hashed_id"), F.lit("t").alias("title"), F.lit(1.0).alias("duration"))
-    joined = engagement(facts, media, "2024-01-30")
-    assert "Union" in plan(joined)
-    # The hot key's thousand events and the 666 others below id 1000.
-    assert joined.count() == 1000 + 666
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_facts_are_read_once_however_they_are_joined(spark, settings, limit):
+    settings(playline__lookup__broadcastBytes=limit, spark__sql__autoBroadcastJoinThreshold=-1)
+    text = plan(fact(spark))
+    assert text.count("events.parquet]") == 1 and text.count("part.parquet]") == 1
 
 
 def test_cutoff_reaches_the_scan(spark):

@@ -215,3 +215,24 @@ def test_pages_from_folders(spark, raw):
     raw.write("pages/media=h1/page=2/a.json", [event("c")])
     rows = read_pages(spark, str(raw.root / "pages")).select("media", "page", "event_key").collect()
     assert sorted(tuple(r) for r in rows) == [("h1", 1, "a"), ("h1", 1, "b"), ("h1", 2, "c")]
+
+
+def test_folder_values_keep_their_text(spark, raw):
+    raw.write("pages/media=0012345678/page=01/a.json", [event("a")])
+    pages = read_pages(spark, str(raw.root / "pages"))
+    row = pages.first()
+    assert (row.media, row.page) == ("0012345678", 1)
+    assert pages.schema["page"].dataType.simpleString() == "bigint"
+
+
+def test_pages_of_media_and_visitors(spark, raw):
+    raw.write("m/page=2/a.json", [media(1), media(2, id=None)])
+    rows = read_pages(spark, str(raw.root / "m"), dataset="media").select("page", "id", "hashed_id")
+    assert sorted(map(tuple, rows.collect()), key=repr) == [(2, 1, "h1"), (2, None, "h2")]
+    raw.write("v/page=1/a.json", [{"visitor_key": "x"}])
+    raw.write("v/page=2/a.json", [{"other": 1}])
+    seen = read_pages(spark, str(raw.root / "v"), dataset="visitors")
+    key = F.try_variant_get("visitor", "$.visitor_key", "string")
+    assert sorted(map(tuple, seen.select("page", key).collect())) == [(1, "x"), (2, None)]
+    with pytest.raises(ValueError):
+        read_pages(spark, str(raw.root / "v"), dataset="others")
