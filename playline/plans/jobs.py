@@ -54,11 +54,28 @@ def _current(spark, raw_root, dataset, folder, pointer, batches, on_missing):
 def build_dim_media(
     spark: SparkSession, raw_root: str, out_root: str, run_date=None, batches: str | None = None
 ) -> int:
-    """Replace dim_media by the current snapshot. Raises if there is none, or an empty one."""
+    """Replace dim_media by the current snapshot. Raises if there is none, or an empty one.
+
+    Media with an unusable value, or without an id, are stored without it, and their records go
+    to rejected_media.
+    """
     prepare(spark)
+    day = as_date(run_date)
     path = _current(spark, raw_root, "media", MEDIA_DIR, MEDIA_POINTER, batches, "error")
-    media = read_media(spark, path).transform(flatten_media).transform(stamp, as_date(run_date))
-    return write_snapshot(media, table_path(out_root, "dim_media"))
+    raw = read_media(spark, path)
+    rows = write_snapshot(
+        raw.transform(flatten_media).transform(stamp, day), table_path(out_root, "dim_media")
+    )
+    noted = raw.where(F.col(CORRUPT).isNotNull()).select("id", "hashed_id", CORRUPT)
+    _note(noted.transform(stamp, day), out_root, "rejected_media", day)
+    return rows
+
+
+def _note(records: DataFrame, out_root: str, name: str, day: dt.date, since=None) -> None:
+    """Store records with something unusable, each once, and count them in the audit."""
+    if not records.isEmpty():
+        rows = append_new(records, table_path(out_root, name), None, since)
+        audit(records.sparkSession, name, day, rows, table_path(out_root, "audit"))
 
 
 def store_events(
@@ -85,9 +102,7 @@ def store_events(
             .select(*EVENT_FIELDS, CORRUPT, reason.alias("reason"))
             .transform(stamp, day)
         )
-        if not noted.isEmpty():
-            rows = append_new(noted, table_path(out_root, "rejected_events"), None, since)
-            audit(events.sparkSession, "rejected_events", day, rows, table_path(out_root, "audit"))
+        _note(noted, out_root, "rejected_events", day, since)
         facts = good.transform(project_events).transform(stamp, day)
         path = table_path(out_root, "fact_events")
         return append_new(facts, path, since=since) if keyed else write_append(facts, path)

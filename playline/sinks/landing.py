@@ -13,6 +13,7 @@ from playline.functions import parse_time
 
 
 def run_ts_text(run_ts: dt.datetime | str) -> str:
+    # The form of the timestamps in raw file names (fixed value).
     return run_ts if isinstance(run_ts, str) else run_ts.strftime("%Y%m%d_%H%M%S")
 
 

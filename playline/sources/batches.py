@@ -12,6 +12,7 @@ from playline import schemas
 from playline.operators.filters import as_instant
 from playline.sinks.tables import read_table
 
+# End of the names of raw files (fixed value).
 STAMP = r"_(\d{8}_\d{6})\.json$"
 
 
@@ -22,13 +23,16 @@ def newest(batches: DataFrame) -> DataFrame:
 
 
 def raw_files(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Raw files of a folder with the run timestamp in their names; the files are not opened."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(raw_dir)
-    )
-    return files.select("path", F.regexp_extract("path", STAMP, 1).alias("run_ts")).where(
-        F.col("run_ts") != ""
-    )
+    """Array files of a folder with the run timestamp in their names; the files are not opened.
+
+    A file whose name has no timestamp raises: ignored, it would be lost without a trace.
+    """
+    # Names with a dot: landed batches lie in folders, and are listed in their log.
+    files = spark.read.format("binaryFile").load(f"{raw_dir.rstrip('/')}/*.*")
+    stamp = F.regexp_extract("path", STAMP, 1)
+    unknown = F.concat(F.lit("raw file without a run timestamp: "), F.col("path"))
+    named = F.when(stamp != "", stamp).otherwise(F.raise_error(unknown))
+    return files.select("path", named.alias("run_ts"))
 
 
 def array_files(spark: SparkSession, raw_dir: str) -> list[str]:

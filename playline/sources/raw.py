@@ -39,14 +39,25 @@ def read_media(spark: SparkSession, path: str, layout: str | None = None) -> Dat
 
 
 def parse_media(raw: DataFrame) -> DataFrame:
-    """Typed media; a value that does not parse is null."""
+    """Typed media; a value that does not parse is null. A record with such a value, or without an
+    id, is kept in full as ``_corrupt_record``."""
     typed = {
         "id": F.col("id").try_cast("bigint"),
         "duration": parse_number(F.col("duration")),
         "created": parse_time(F.col("created")),
         "updated": parse_time(F.col("updated")),
     }
-    return raw.select(*[typed.get(c, F.col(c)).alias(c) for c in raw.columns])
+    bad = typed["id"].isNull()
+    for name, value in typed.items():
+        bad |= _unusable(name, value)
+    record = F.when(bad, F.to_json(F.struct(*raw.columns)))
+    return raw.select(
+        *[typed.get(c, F.col(c)).alias(c) for c in raw.columns], record.alias(CORRUPT)
+    )
+
+
+def _unusable(text: str, value: Column) -> Column:
+    return F.col(text).isNotNull() & (F.col(text) != "") & value.isNull()
 
 
 def event_options(layout: str) -> tuple[str, dict]:
@@ -62,11 +73,7 @@ def parse_events(raw: DataFrame) -> DataFrame:
     fields = [c for c in raw.columns if c != CORRUPT]
     times = parse_time(F.col("received_at"))
     percent = parse_number(F.col("percent_viewed"))
-
-    def unusable(text: str, value: Column) -> Column:
-        return F.col(text).isNotNull() & (F.col(text) != "") & value.isNull()
-
-    bad = unusable("received_at", times) | unusable("percent_viewed", percent)
+    bad = _unusable("received_at", times) | _unusable("percent_viewed", percent)
     record = F.when(bad, F.to_json(F.struct(*fields)))
     if CORRUPT in raw.columns:
         record = F.coalesce(F.col(CORRUPT), record)

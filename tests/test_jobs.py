@@ -305,3 +305,14 @@ def test_engagement_is_not_built_from_nothing(spark, raw, place, tmp_path):
     build_fact_events(spark, place[0], other, "2024-01-30")
     with pytest.raises(ValueError, match="another place"):
         build_engagement(spark, other, "2024-01-30")
+
+
+def test_unusable_media_values_are_noted(spark, raw, place):
+    raw.media("20240130_235000", [media(1), media(0, id=None, hashed_id="x"), media(3, duration="long")])
+    for _ in range(2):
+        build_dim_media(spark, *place, "2024-01-30")
+    assert rows(spark, place[1], "dim_media", "media_id", "duration") == [
+        (1, 101.0), (3, None), (None, 100.0)]
+    noted = spark.read.parquet(table_path(place[1], "rejected_media")).collect()
+    assert sorted(r.hashed_id for r in noted) == ["h3", "x"]
+    assert log(spark, place[1])[0] == ("rejected_media", "2024-01-30", "ok", 2)

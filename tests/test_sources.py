@@ -236,3 +236,13 @@ def test_pages_of_media_and_visitors(spark, raw):
     assert sorted(map(tuple, seen.select("page", key).collect())) == [(1, "x"), (2, None)]
     with pytest.raises(ValueError):
         read_pages(spark, str(raw.root / "v"), dataset="others")
+
+
+def test_a_raw_file_without_a_timestamp_raises(spark, raw):
+    raw.media("20240130_235000", [media(1)], point=False)
+    raw.write("raw_data/media/run_ts=20240131_000000/part-0.json", media(2))
+    folder = str(raw.root / "raw_data/media")
+    assert latest_batch(spark, folder).endswith("_20240130_235000.json")
+    raw.write("raw_data/media/media_20240131_235000.json.gz", "x")
+    with pytest.raises(Exception, match="without a run timestamp"):
+        latest_batch(spark, folder)
