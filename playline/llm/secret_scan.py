@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playline.llm.expressions import words
-from playline.session import stage
+from playline.session import scratch_path, stage
 
 #: Labelled findings that a fit takes at most, chosen by a hash of the finding.
 TRAIN_ROWS = 20_000
@@ -195,7 +195,11 @@ def fit(labelled: DataFrame, label: str = "label", rows: int = TRAIN_ROWS) -> Pi
         featuresCol="features", labelCol=label, numTrees=TREES, maxDepth=DEPTH, seed=SEED
     )
     stages = [VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]
-    return Pipeline(stages=stages).fit(sample)
+    path = scratch_path(labelled.sparkSession, "forest")
+    Pipeline(stages=stages).fit(sample).write().save(path)
+    # Read back without its training summary, which holds the session: once a query of the session
+    # has been observed, that can't be sent to tasks.
+    return PipelineModel.load(path)
 
 
 def judge(rows: DataFrame, model: PipelineModel | None, label: str = "label") -> DataFrame:

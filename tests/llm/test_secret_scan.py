@@ -1,6 +1,8 @@
 import re
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from playline.llm.secret_scan import CANDIDATE, findings, fit, redact, scan
 
@@ -73,3 +75,11 @@ def test_small_tables(spark, part):
     docs = frame(spark).limit(part)
     assert scan(docs).collect() == []
     assert redact(docs).count() == part
+
+
+def test_forest_works_in_a_session_with_observed_queries(spark):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("rows")).collect()
+    assert seen.get["rows"] == 3
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id BIGINT, text STRING")
+    assert scan(docs).where("is_secret").count() > 0
