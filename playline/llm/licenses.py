@@ -5,6 +5,10 @@ All steps are DataFrame functions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +17,9 @@ from playline.session import stage
 
 #: Least cosine of a notice with its template.
 LEAST = 0.6
-#: A line is looked at if it has one of these.
+#: Bits in which the templates' terms are marked by hash.
+BITS, SHIFT = 1 << 19, 13
+#: A line with one of these, in any case, mentions a licence and is counted, whatever its cosine.
 HINTS = ("licen", "LICEN", "Licen", "SPDX", "opyright", "OPYRIGHT", "rights reserved", "ublic domain")
 
 # Notices as they stand in headers, by licence.
@@ -39,6 +45,57 @@ TEMPLATES = (
     ("Proprietary", "All rights reserved."),
 )
 
+# Headers of several lines, by licence. The full texts lie in license_texts.
+GRANT = (
+    "is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {name}"
+    " as published by the Free Software Foundation, either version {number} of the License, or (at your"
+    " option) any later version."
+)
+WARRANTY = (
+    " is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the"
+    " implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for"
+    " more details. You should have received a copy of the GNU {name} along with this {thing}."
+)
+FAMILY = (
+    ("GPL-2.0", "program", ";", "General Public License", "2"),
+    ("GPL-3.0", "program", ":", "General Public License", "3"),
+    ("LGPL-2.1", "library", ";", "Lesser General Public License", "2.1"),
+    ("LGPL-3.0", "library", ":", "Lesser General Public License", "3"),
+    ("AGPL-3.0", "program", ":", "Affero General Public License", "3"),
+)
+HEADERS = (
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this'
+                   " file except in compliance with the License. You may obtain a copy of the License at"
+                   " http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed"
+                   ' to in writing, software distributed under the License is distributed on an "AS IS"'
+                   " BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the"
+                   " License for the specific language governing permissions and limitations under the License."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a"
+                " copy of the MPL was not distributed with this file, You can obtain one at"
+                " https://mozilla.org/MPL/2.0/."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without"
+            " fee is hereby granted, provided that the above copyright notice and this permission notice"
+            ' appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES'
+            " WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."
+            " IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL"
+            " DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN"
+            " ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH"
+            " THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+)
+#: What a comment line begins with.
+COMMENT = "(?:#|//|/[*]|[*]|--|;|%|<!--|dnl\\b|(?i:rem)\\b)"
+
+
+def texts() -> list[tuple[str, str]]:
+    """Full licence texts and headers of several lines, by licence."""
+    files = resources.files("playline.llm").joinpath("license_texts").iterdir()
+    full = sorted((f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in files)
+    heads = [*HEADERS]
+    for license, thing, mark, name, number in FAMILY:
+        grant = f"This {thing} " + GRANT.format(mark=mark, name=name, number=number)
+        heads += [(license, grant), (license, grant + f" This {thing}" + WARRANTY.format(name=name, thing=thing))]
+    return full + heads
+
 
 def terms(text: Column) -> Column:
     """Distinct words and pairs of neighbouring words."""
@@ -47,29 +104,80 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.concat(own, pairs), lambda t: F.length(t) > 0))
 
 
-def notices(files: DataFrame) -> DataFrame:
-    """``notice``: every distinct line of a text that hints at a licence, over all whole texts."""
-    hinted = [F.contains("text", F.lit(h)) for h in HINTS]
-    any_hint = hinted[0]
-    for h in hinted[1:]:
-        any_hint = any_hint | h
-    lines = F.filter(F.split("text", "\n"), hints)
-    return files.where(any_hint).select("file_key", F.explode_outer(lines).alias("notice"))
+def units(text: Column) -> Column:
+    """What is compared: lines, blocks of lines between lines without words or blank lines, blocks
+    of comment lines, and the whole text."""
+    blocks = F.split(text, "\\n[^A-Za-z0-9\\x{80}-\\x{10FFFF}]*\\n")
+    sections = F.split(text, "\\n\\s*\\n")
+    comments = F.regexp_replace(text, f"(?m)^[ \\t]*(?!{COMMENT})\\S.*$", "")
+    comments = F.when(text.rlike(f"(?m)^[ \\t]*{COMMENT}"), F.split(comments, "\\n\\s*\\n"))
+    none = F.array().cast("array<string>")
+    parts = F.concat(F.split(text, "\n"), blocks, sections, F.coalesce(comments, none), F.array(text))
+    return F.array_distinct(parts)
 
 
-def hints(line: Column) -> Column:
-    out = F.contains(line, F.lit(HINTS[0]))
-    for h in HINTS[1:]:
-        out = out | F.contains(line, F.lit(h))
-    return out
+def is_line(notice: Column) -> Column:
+    return ~F.contains(notice, F.lit("\n"))
 
 
-def matched(spark: SparkSession, lines: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """``notice, license, cosine``: the nearest template of each distinct notice.
+def mentions(line: Column) -> Column:
+    low = F.lower(line)
+    return reduce(Column.__or__, [F.contains(low, F.lit(h)) for h in sorted({h.lower() for h in HINTS})])
 
-    Weights are the logs of how rare a term is among the templates; a term that none has counts as
-    the rarest. Ties go to the licence that comes first by name.
+
+def hashed(text: Column) -> Column:
+    """The distinct hashes of ``terms``."""
+    pairs = lambda own: F.transform(own, lambda w, i: F.xxhash64(w, F.get(own, i + 1)))
+    both = lambda own: F.concat(
+        F.transform(own, lambda w: F.xxhash64(w)),
+        F.slice(pairs(own), 1, F.greatest(F.size(own) - 1, F.lit(0))),
+    )
+    return F.array_distinct(F.flatten(F.transform(F.array(words(text)), both)))
+
+
+def near(spark: SparkSession, lists, least: float) -> Callable[[Column], Column]:
+    """Whether a unit of these hashed terms can have a cosine of ``least`` with a template of one of
+    the lists; never false for one that has.
+
+    With S the squared weights that unit and template share, and u and t their lengths, S >= least u t
+    and S is at most the square of either. So S >= least^2 u^2 and u >= least t: as no term weighs more
+    than an unknown one, at least least^2 of the unit's terms are terms of templates, and it has at
+    least least^2 t^2 / rarest^2 terms. Terms are looked up by bits of their hash, so some more may pass.
     """
+    shortest, marks = [], [0] * (BITS // 64)
+    for templates in lists:
+        _, weights, rarest = weighted(spark, templates)
+        shortest.append(weights.agg(F.min("norm") / rarest).first()[0] ** 2 * least**2)
+        listed = spark.createDataFrame([(text,) for _, text in templates], "text string")
+        for r in listed.select(F.explode_outer(hashed(F.col("text"))).alias("h")).distinct().collect():
+            marks[r.h % (BITS // 64)] |= 1 << (r.h // (BITS // 64)) % 64
+    marks = ",".join(str(m - (1 << 64) if m >> 63 else m) for m in marks)
+    bits = F.split(F.lit(marks), ",").cast("array<bigint>")
+
+    def known(h: Column) -> Column:
+        word = F.get(bits, h.bitwiseAND(F.lit(BITS // 64 - 1)).cast("int"))
+        return F.getbit(word, F.shiftright(h, SHIFT).bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    def close(own: Column) -> Column:
+        count = F.size(own)
+        enough = count >= min(shortest) - 1e-6
+        return (count > 0) & enough & (F.size(F.filter(own, known)) >= least**2 * count - 1e-6)
+
+    return close
+
+
+def notices(files: DataFrame, least: float = LEAST) -> DataFrame:
+    """``notice``: every distinct unit of a text that mentions a licence or may be near a template."""
+    spark = files.sparkSession
+    parts = files.select("file_key", F.explode_outer(units(F.col("text"))).alias("notice"))
+    close = near(spark, (TEMPLATES, texts()), least)
+    is_close = F.exists(F.array(hashed(F.col("notice"))), close)
+    return parts.where((is_line(F.col("notice")) & mentions(F.col("notice"))) | is_close)
+
+
+def weighted(spark: SparkSession, templates):
+    """The templates' terms with their weights, the same a template with its length, and the weight
+    of a term that none has."""
     listed = spark.createDataFrame(
         [(i, name, text) for i, (name, text) in enumerate(templates)],
         "template int, license string, text string",
@@ -77,12 +185,20 @@ def matched(spark: SparkSession, lines: DataFrame, templates=TEMPLATES) -> DataF
     spread = listed.select("template", "license", F.explode_outer(terms(F.col("text"))).alias("term"))
     count = len(templates)
     rarity = spread.groupBy("term").agg((F.log(count / F.count(F.lit(1))) + 1).alias("weight"))
-    rarest = F.log(F.lit(float(count))) + 1
     weights = spread.join(rarity, "term")
     norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
+    return rarity, weights.join(norms, "template"), F.log(F.lit(float(count))) + 1
+
+
+def matched(spark: SparkSession, lines: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """``notice, license, cosine``: the nearest template of each distinct notice.
+
+    Weights are the logs of how rare a term is among the templates; a term that none has counts as
+    the rarest. Ties go to the licence that comes first by name.
+    """
+    rarity, weights, rarest = weighted(spark, templates)
     # The templates are a fixed list, so their size is known.
-    weights = F.broadcast(weights.join(norms, "template"))
-    rarity = F.broadcast(rarity)
+    weights, rarity = F.broadcast(weights), F.broadcast(rarity)
     own = lines.select("notice").distinct()
     parts = own.select("notice", F.explode_outer(terms(F.col("notice"))).alias("term"))
     lengths = (
@@ -151,16 +267,26 @@ def licenses(
         name.alias("file_key"),
         body.alias("text"),
     )
-    lines = stage(notices(rows).distinct(), "notices")
-    best = matched(spark, lines).where(F.col("cosine") >= least)
+    lines = stage(notices(rows, least).distinct(), "notices")
+    best = reduce(
+        DataFrame.union,
+        [
+            matched(spark, lines, templates).where(F.col("cosine") >= least).withColumn("rank", F.lit(rank))
+            for rank, templates in enumerate((texts(), TEMPLATES))
+        ],
+    )
+    best = best.groupBy("notice").agg(
+        F.min(F.struct("rank", (-F.col("cosine")).alias("away"), "license")).alias("best")
+    )
+    line = is_line(F.col("notice")) & (mentions(F.col("notice")) | F.col("best").isNotNull())
     own = stage(
         lines.join(best, "notice", "left")
         .groupBy("file_key")
         .agg(
-            F.count(F.lit(1)).alias("n_notices"),
-            F.min(F.when(F.col("license").isNotNull(), F.struct((-F.col("cosine")).alias("away"), "license")))
-            .alias("best"),
-        ),
+            F.count(F.when(line, 1)).alias("n_notices"),
+            F.min("best").alias("best"),
+        )
+        .withColumn("n_notices", F.greatest("n_notices", F.col("best").isNotNull().cast("long"))),
         "own-licenses",
     )
     light = rows.drop("text")
