@@ -37,13 +37,19 @@ ISSUED = (
     "|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|-----BEGIN )"
 )
 CREDENTIAL = "(?i)(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|bearer)"
-OTHER = "(?i)(commit|revision|sha1|sha256|md5|checksum|digest|uuid|order|invoice|card|phone|iban)"
-SAMPLE = "(?i)(example|sample|dummy|placeholder|fake|changeme|xxxx|test)"
+# Whole words only: "border" is no order and "latest" no test.
+OTHER = (
+    "(?i)(?<![a-z])(commit|revision|sha1|sha256|md5|checksum|digest|uuid|order|invoice|card|phone|iban)s?"
+    "(?![a-z])"
+)
+SAMPLE = "(?i)(?<![a-z])(example|sample|dummy|placeholder|fake|changeme|x{4,}|test)s?(?![a-z])"
+#: Candidates that are samples themselves: a sample word, or an ending of issuers' own samples.
+KNOWN_SAMPLE = f"({SAMPLE}|EXAMPLE(KEY)?$)"
 
 FEATURES = [
     "length", "digits", "upper", "lower", "marks", "distinct", "changes", "hexadecimal", "numeric",
     "issued", "transition", "coverage", "assigned", "quoted", "credential", "other", "sample",
-    "sample_path", "joined",
+    "sample_path", "known_sample", "joined",
 ]
 
 
@@ -168,17 +174,21 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
         flag("left", "[\"']$").alias("quoted"),
         flag("left", CREDENTIAL).alias("credential"),
         flag("left", OTHER).alias("other"),
-        F.greatest(flag("left", SAMPLE), flag("candidate", SAMPLE)).alias("sample"),
+        F.greatest(flag("left", SAMPLE), flag("candidate", KNOWN_SAMPLE)).alias("sample"),
         flag("path", SAMPLE).alias("sample_path"),
+        flag("candidate", KNOWN_SAMPLE).alias("known_sample"),
         F.greatest(flag("left", "[@./]$"), flag("after", "^[@.]\\S")).alias("joined"),
     )
 
 
 def by_rule() -> Column:
-    """Labels where no person gave any: a known format, or assigned to the name of a credential."""
+    """Labels where no person gave any: a known format, or assigned to the name of a credential.
+
+    A sample word nearby rules out the latter only; a known format is a sample only by itself.
+    """
     named = (F.col("credential") > 0) & (F.col("assigned") > 0) & (F.col("numeric") == 0)
-    real = (F.col("issued") > 0) | (named & (F.col("other") == 0))
-    return (real & (F.col("sample") == 0)).cast("double")
+    issued = (F.col("issued") > 0) & (F.col("known_sample") == 0)
+    return (issued | (named & (F.col("other") == 0) & (F.col("sample") == 0))).cast("double")
 
 
 def fit(labelled: DataFrame, label: str = "label", rows: int = TRAIN_ROWS) -> PipelineModel | None:
