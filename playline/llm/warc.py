@@ -129,18 +129,27 @@ class Damaged(Exception):
     pass
 
 
-def inflate(data: memoryview, at: int) -> tuple[bytes, int]:
-    """The content of the gzip member at ``at``, and its end."""
-    unpacker, out, fed = zlib.decompressobj(wbits=31), [], at
+def inflate(data: memoryview, at: int) -> tuple[bytes, int, str | None]:
+    """The content of the gzip member at ``at``, as far as it inflates, its end, and what broke it."""
+    unpacker, out, fed, broken = zlib.decompressobj(wbits=31), [], at, None
     try:
         while not unpacker.eof and fed < len(data):
             out.append(unpacker.decompress(data[fed : fed + FEED]))
             fed = min(fed + FEED, len(data))
     except zlib.error:
-        raise Damaged("member does not inflate") from None
-    if not unpacker.eof:
-        raise Damaged("member is cut off")
-    return b"".join(out), fed - len(unpacker.unused_data)
+        # The piece that failed gave nothing; bytewise it gives what lies before the break.
+        broken = "member does not inflate"
+        unpacker, out = zlib.decompressobj(wbits=31), []
+        for begin in range(at, fed, FEED):
+            out.append(unpacker.decompress(data[begin : min(begin + FEED, fed)]))
+        try:
+            for i in range(fed, min(fed + FEED, len(data))):
+                out.append(unpacker.decompress(data[i : i + 1]))
+        except zlib.error:
+            fed = i
+    if broken is None and not unpacker.eof:
+        broken = "member is cut off"
+    return b"".join(out), fed - len(unpacker.unused_data), broken
 
 
 def parse(data: bytes, at: int) -> tuple[dict, int]:
@@ -190,40 +199,94 @@ def parse(data: bytes, at: int) -> tuple[dict, int]:
     }, stop + 4
 
 
+def records(data: bytes):
+    """Records of plain bytes, and the gaps between them: (offset, end, record or None, reason)."""
+    at, gap, reason = 0, None, None
+    while at < len(data):
+        try:
+            one, end = parse(data, at)
+        except Damaged as error:
+            if gap is None:
+                gap, reason = at, str(error)
+            following = VERSION_LINE.search(data, at + 1)
+            at = following.start() if following else len(data)
+            continue
+        if gap is not None:
+            yield gap, at, None, reason
+            gap = None
+        yield at, end, one, None
+        at = end
+    if gap is not None:
+        yield gap, at, None, reason
+
+
 def salvage(content: bytes):
     """Records of an archive, and its gaps: (offset, length, record or None, reason).
 
     Where a check fails, the search goes on at the next gzip member or version line from which a
-    whole valid record can be read; the bytes in between are one gap with the first reason.
+    whole valid record can be read; the bytes in between are one gap with the first reason. Inside a
+    gzip member it goes on at the next version line of the inflated bytes; records and gaps there
+    have the offset and length of the member. Of a member that breaks, the records before the break
+    are kept, unless it has just one; the search goes on in its bytes, which are a gap as well.
     """
     view, at, gap, reason = memoryview(content), 0, None, None
     while at < len(content):
-        try:
-            if content.startswith(MAGIC, at):
-                data, end = inflate(view, at)
-                inner, found = 0, []
-                while inner < len(data):
-                    one, inner = parse(data, inner)
-                    found.append(one)
-            else:
+        packed, broken, why = content.startswith(MAGIC, at), None, None
+        if packed:
+            data, end, broken = inflate(view, at)
+            found = list(records(data))
+            if broken is not None:
+                # What lies behind the last whole record is part of the break.
+                while found and found[-1][2] is None:
+                    found.pop()
+                # A record that fills its member is quarantined with it, as the member's check fails.
+                if len(found) == 1 and found[0][:2] == (0, len(data)):
+                    found = []
+            elif not any(one for _, _, one, _ in found):
+                why = found[0][3] if found else None
+                found = []
+            why = broken if broken is not None and not found else why
+            bad = why is not None
+        else:
+            try:
                 one, end = parse(content, at)
-                found = [one]
-        except Damaged as error:
+                found, bad = [(0, 0, one, None)], False
+            except Damaged as error:
+                why, bad = str(error), True
+        if bad:
             if gap is None:
-                gap, reason = at, str(error)
+                gap, reason = at, why
             following = BEGIN.search(content, at + 1)
             at = following.start() if following else len(content)
             continue
         if gap is not None:
             yield gap, at - gap, None, reason
             gap = None
-        for one in found:
-            yield at, end - at, one, None
+        if broken is not None:
+            # Records kept from a broken member; its other bytes are searched for whole members.
+            following = BEGIN.search(content, at + 1)
+            while following and following.start() < end and not starts(view, following.start()):
+                following = BEGIN.search(content, following.start() + 1)
+            end = following.start() if following else len(content)
+        for _, _, one, why in found:
+            yield at, end - at, one, why
+        if broken is not None:
+            yield at, end - at, None, broken
         at = end
     if gap is not None:
         yield gap, at - gap, None, reason
 
 
+def starts(data: memoryview, at: int) -> bool:
+    """Whether a valid record, plain or in a member, begins at ``at``."""
+    if bytes(data[at : at + len(MAGIC)]) == MAGIC:
+        return any(one for _, _, one, _ in records(inflate(data, at)[0]))
+    try:
+        return bool(parse(bytes(data[at:]), 0))
+    except Damaged:
+        return False
+
+
 FOUND = {
     "path": "string",
     "offset": "long",
