@@ -14,7 +14,7 @@ from playline.session import stage
 WINDOW = 13
 #: Words of a fingerprint, or all words of a shorter window.
 GRAM = 5
-#: Bytes of benchmark text up to which its fingerprints are broadcast.
+#: Bytes of the benchmark's fingerprints, with the words around them, up to which they are broadcast.
 BROADCAST_BYTES = 8 << 20
 EMPTY = "array<bigint>"
 
@@ -88,21 +88,32 @@ def judged(
 ) -> DataFrame:
     """``decontaminate`` with the row key of ``identified`` in front."""
     items = stage(windows_of(benchmark, item_key, item_text), "benchmark-items")
-    sizes = items.agg(F.sum(F.size("words") * 24 + 64).alias("bytes")).first().bytes or 0
     # At most 13 lengths, whatever the size of the benchmark.
     spans = sorted(r.span for r in items.select("span").distinct().collect())
 
-    def small(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if sizes <= BROADCAST_BYTES else df
-
     def item_marks(span: int) -> DataFrame:
+        """Each mark with the words around it only, so that the table grows with the items' length."""
         own = fingerprints(items.where(F.col("span") == span), span)
+        before = span - gram_of(span)
+
+        def mark_at(mark: Column, at: Column) -> Column:
+            begin = F.greatest(at - before, F.lit(0))
+            return F.struct(
+                at.alias("item_at"),
+                mark.alias("mark"),
+                begin.alias("item_begin"),
+                F.slice("words", begin + 1, span + before).alias("item_near"),
+            )
+
+        places = F.sequence(F.lit(0), F.size("grams") - 1)
+        places = F.filter(places, lambda i: F.array_contains("marks", F.get("grams", i)))
+        found = F.transform(places, lambda i: mark_at(F.get("grams", i), i))
         return own.select(
             "item",
-            F.col("words").alias("item_words"),
-            F.posexplode_outer("grams").alias("item_at", "mark"),
-            "marks",
-        ).where(F.array_contains("marks", F.col("mark"))).drop("marks")
+            F.lit(span).alias("span"),
+            (F.size("words") - span).alias("item_last"),
+            F.explode_outer(found).alias("m"),
+        ).select("item", "span", "item_last", "m.*")
 
     tokenized = identified(docs, key, text)
     marked = tokenized
@@ -127,15 +138,23 @@ def judged(
             none.alias("items"),
             F.lit(False).alias("contaminated"),
         )
-    shared = reduce(DataFrame.union, [item_marks(s).select("mark") for s in spans]).distinct()
+    marks = stage(reduce(DataFrame.union, [item_marks(s) for s in spans]), "item-marks")
+    near = F.octet_length(F.array_join("item_near", "")) + F.size("item_near") * 24 + 96
+    sizes = marks.agg(F.sum(near + F.octet_length("item")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+
+    def small(df: DataFrame, size: int) -> DataFrame:
+        return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+    shared = marks.select("mark").distinct()
     suspects = (
         staged.select("row_key", F.explode_outer("marks").alias("mark"))
-        .join(small(shared), "mark", "left_semi")
+        .join(small(shared, 16 * sizes.n), "mark", "left_semi")
         .select("row_key")
         .distinct()
     )
     again = stage(tokenized.join(suspects, "row_key", "left_semi").distinct(), "suspects")
-    found = reduce(DataFrame.union, [extend(again, small(item_marks(s)), s) for s in spans])
+    own = {s: marks.where(F.col("span") == s).drop("span") for s in spans}
+    found = reduce(DataFrame.union, [extend(again, small(own[s], sizes.bytes), s) for s in spans])
     # At most one entry a word and length, and one an item, so no group outgrows its document.
     hits = found.groupBy("row_key").agg(
         F.collect_set("reach").alias("reaches"), F.array_sort(F.collect_set("item")).alias("items")
@@ -190,11 +209,11 @@ def extend(texts: DataFrame, marks: DataFrame, span: int) -> DataFrame:
     )
     joined = around.join(marks, "mark")
     first = F.greatest(F.col("item_at") - before, F.col("item_at") - F.col("at"), F.lit(0))
-    last = F.least(F.col("item_at"), F.size("item_words") - span)
+    last = F.least(F.col("item_at"), F.col("item_last"))
 
     def there(o: Column) -> Column:
         place = F.col("at") - F.col("item_at") + o - F.col("begin")
-        return F.slice("near", place + 1, span) == F.slice("item_words", o + 1, span)
+        return F.slice("near", place + 1, span) == F.slice("item_near", o - F.col("item_begin") + 1, span)
 
     offsets = F.when(first <= last, F.filter(F.sequence(first, last), there))
     return (
