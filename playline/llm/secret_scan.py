@@ -26,11 +26,31 @@ NEAR = 60
 #: The log probability of a pair of letters that no dictionary word has.
 UNSEEN = -12.0
 
-KEY_BLOCK = "-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\\s]*-----END [A-Z ]*PRIVATE KEY-----"
+#: A private key in PEM or PGP form, with header lines; without its end, as far as lines of it go.
+KEY_BLOCK = (
+    "-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----(?:\\s*[A-Za-z][A-Za-z0-9-]*:[^\\n]*\\n){0,20}"
+    "(?:[A-Za-z0-9+/=\\s\\\\]*-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+    "|(?:(?:\\s|\\\\[nr])*[A-Za-z0-9+/=]{24,}){0,400}(?:(?:\\s|\\\\[nr])+[A-Za-z0-9+/]+={1,2})?)"
+)
 #: Runs of 16 or more key characters with a digit among them, or a key in its frame.
 CANDIDATE = (
     "(" + KEY_BLOCK + "|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2})"
 )
+#: A value assigned to the name of a credential, quoted or up to the next space; the value ends the
+#: match. What ``CANDIDATE`` finds there itself is left to it.
+ASSIGNED = (
+    "(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|bearer)"
+    "(?:[sS]?[0-9]{0,4}|[_-][A-Za-z0-9_-]{0,40}|[A-Z][A-Za-z0-9_]{0,40})(?![A-Za-z0-9])[\"']?\\]?\\s{0,8}"
+    "(?::=|=>|==?|:)\\s{0,8}[\"'`]?"
+    "(?!-----BEGIN [A-Z ]*PRIVATE KEY)"
+    "(?!(?:(?<![\"'`])|(?=[^\"'`\\n]*(?:[\\n]|\\z)))"
+    "(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}(?:[\\s\"'`,;]|[.)\\]}>]*(?:\\s|\\z)|\\z))"
+    "(?!(?<=[\"'`])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}[\"'`])"
+    "((?<=\")[^\"\\n]+(?=\")|(?<=')[^'\\n]+(?=')|(?<=`)[^`\\n]+(?=`)"
+    "|[^\\s\"'`]*[^\\s\"'`,;.)\\]}>])"
+)
+#: Values that only stand for one.
+STAND_IN = "(?i)^([$%<{(\\[].*|[*.#_-]+|none|null|nil|true|false|undefined|required|optional)$"
 # Formats of issuers, and words that name a credential or something else.
 ISSUED = (
     "^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}"
@@ -73,16 +93,44 @@ def findings(docs: DataFrame, key: str, text: str, path: str | None) -> DataFram
         F.coalesce(place, F.lit("")).alias("path"),
         body.alias("body"),
         F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(1)).alias("all"),
+        F.regexp_extract_all(body, F.lit(ASSIGNED), F.lit(1)).alias("values"),
     )
-    # The text between candidates; both arrays come from the same matches.
-    rows = rows.where(F.size("all") > 0).select(
+    name = F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "path", "body")
+    rows = rows.withColumn("row_key", F.md5(name))
+    runs = rows.where(F.size("all") > 0).select(
         "doc_id",
         "path",
-        F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "path", "body"))
-        .alias("row_key"),
+        "row_key",
         "all",
+        F.col("all").alias("whole"),
         F.split("body", CANDIDATE, -1).alias("between"),
     )
+    values = rows.where(F.size("values") > 0).select(
+        "doc_id",
+        "path",
+        "row_key",
+        F.col("values").alias("all"),
+        F.regexp_extract_all("body", F.lit(ASSIGNED), F.lit(0)).alias("whole"),
+        F.split("body", ASSIGNED, -1).alias("between"),
+    )
+    return placed(runs).unionByName(placed(values))
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """One row a candidate. ``whole`` are the matches, which end with the candidates ``all``, and
+    ``between`` the text between them."""
+    # The part of a match before its candidate belongs to the text before it.
+    lead = F.zip_with(
+        "whole", "all", lambda w, c: F.substring(w, F.lit(1), F.length(w) - F.length(c))
+    )
+    rows = rows.select(
+        "doc_id",
+        "path",
+        "row_key",
+        "all",
+        F.zip_with("between", lead, lambda b, f: F.concat(b, F.coalesce(f, F.lit("")))).alias("between"),
+        F.col("between").alias("behind"),
+    )
     sizes = F.zip_with(
         "between", "all", lambda a, b: F.length(a) + F.coalesce(F.length(b), F.lit(0))
     )
@@ -99,7 +147,7 @@ def findings(docs: DataFrame, key: str, text: str, path: str | None) -> DataFram
             c.alias("candidate"),
             (F.get("starts", i) + F.length(F.get("between", i))).alias("offset"),
             F.substring(F.get("between", i), -NEAR, NEAR).alias("before"),
-            F.substring(F.get("between", i + 1), 1, NEAR).alias("after"),
+            F.substring(F.get("behind", i + 1), 1, NEAR).alias("after"),
         ),
     )
     return rows.select("doc_id", "path", "row_key", F.explode_outer(parts).alias("c")).select(
@@ -170,8 +218,8 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
         flag("candidate", ISSUED).alias("issued"),
         F.coalesce("transition", F.lit(0.0)).alias("transition"),
         (F.coalesce("letters", F.lit(0)) / F.length("candidate")).alias("coverage"),
-        flag("left", "[=:]\\s*[\"']?$").alias("assigned"),
-        flag("left", "[\"']$").alias("quoted"),
+        flag("left", "[=:]>?\\s*[\"'`]?$").alias("assigned"),
+        flag("left", "[\"'`]$").alias("quoted"),
         flag("left", CREDENTIAL).alias("credential"),
         flag("left", OTHER).alias("other"),
         F.greatest(flag("left", SAMPLE), flag("candidate", KNOWN_SAMPLE)).alias("sample"),
@@ -184,9 +232,12 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
 def by_rule() -> Column:
     """Labels where no person gave any: a known format, or assigned to the name of a credential.
 
-    A sample word nearby rules out the latter only; a known format is a sample only by itself.
+    A sample word nearby rules out the latter only; a known format is a sample only by itself. Plain
+    words of the dictionary and stand-ins such as ``${PASSWORD}`` are no values.
     """
-    named = (F.col("credential") > 0) & (F.col("assigned") > 0) & (F.col("numeric") == 0)
+    plain = F.col("candidate").rlike("^[A-Za-z]+$") & (F.col("coverage") >= 1)
+    value = (F.col("numeric") == 0) & ~plain & ~F.col("candidate").rlike(STAND_IN)
+    named = (F.col("credential") > 0) & (F.col("assigned") > 0) & value
     issued = (F.col("issued") > 0) & (F.col("known_sample") == 0)
     return (issued | (named & (F.col("other") == 0) & (F.col("sample") == 0))).cast("double")
 

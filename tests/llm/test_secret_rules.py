@@ -21,3 +21,43 @@ def test_words_near_a_candidate_count_whole(spark):
     got = labels(spark, real + false)
     assert [list(got[t].values()) for t in real] == [[1.0]] * len(real)
     assert [list(got[t].values()) for t in false] == [[0.0]] * len(false)
+
+
+def test_short_and_odd_values_are_candidates(spark):
+    values = {
+        "login password=hunter2x9 now": "hunter2x9",
+        "passwd: correct-horse-battery, then": "correct-horse-battery",
+        'password="S3cr3t!Pass#2024" end': "S3cr3t!Pass#2024",
+        "DB_PASSWORD = 'two words é🙂'": "two words é🙂",
+        '{"apiKey": "a.b"}': "a.b",
+        f'été pwd="{HEX}"': HEX,
+        f"token={HEX}.tail!x": HEX + ".tail!x",
+        "pwd => x9!": "x9!",
+        "pwd = 'abcdefgh12345678 and more'": "abcdefgh12345678 and more",
+        "pwd = 'abcdefgh12345678 and more": "abcdefgh12345678",
+    }
+    docs = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    got = {}
+    for r in findings(docs, "doc_id", "text", None).collect():
+        text = list(values)[r.doc_id]
+        assert text[r.offset : r.offset + len(r.candidate)] == r.candidate
+        got.setdefault(text, []).append(r.candidate)
+    assert all(got[t].count(v) == 1 for t, v in values.items())
+    assert labels(spark, list(values)[:3]) == {t: {v: 1.0} for t, v in list(values.items())[:3]}
+    stand = labels(spark, ["password: ${DB_PASS}", "the secretary: Ann", "password: again " * 25])
+    assert [set(x.values()) for x in stand.values()] == [{0.0}, {0.0}]
+
+
+def test_key_blocks_in_all_forms(spark):
+    line = "MIIEabc0" * 8
+    keys = [
+        "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+        f"{line}\n{line}\nab==\n-----END RSA PRIVATE KEY-----",
+        f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\n\n{line}\n=aB3d\n"
+        "-----END PGP PRIVATE KEY BLOCK-----",
+        f"-----BEGIN PRIVATE KEY-----\n{line}\n{line}",
+        f"-----BEGIN PRIVATE KEY-----\\n{line}\\n-----END PRIVATE KEY-----",
+    ]
+    docs = spark.createDataFrame([(i, f"a {k}\nthe text") for i, k in enumerate(keys)], "doc_id long, text string")
+    got = {r.doc_id: r.candidate for r in findings(docs, "doc_id", "text", None).collect()}
+    assert got == dict(enumerate(keys))
