@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playline.llm import bpe, decontaminate, secret_scan
+from playline.llm import bpe, chat_format, decontaminate, importance, secret_scan
+from playline.llm.collocations import ORACLE, best_of_each_language, collocations
 from playline.llm.jaccard import similar
 from playline.llm.licenses import licenses
 from playline.llm.quality import quality
@@ -92,6 +93,31 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return best_of_each_language(collocations(table(spark, sf_dir, "documents")))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return importance.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more, -1, that says what the template itself says."""
+    prepare(spark)
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select(*extra.columns).unionByName(extra)
+    return chat_format.digest(chat_format.read_back(chat_format.format_chats(rows)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontamination": op2_decontamination,
@@ -103,6 +129,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_collocations": op11_collocations,
+    "op12_importance": op12_importance,
+    "op13_chat_format": op13_chat_format,
 }
 
-ORACLES: dict[str, str] = {"op2_decontamination": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_decontamination": decontaminate.ORACLE,
+    "op11_collocations": ORACLE,
+    "op12_importance": importance.ORACLE,
+    "op13_chat_format": chat_format.ORACLE,
+}
