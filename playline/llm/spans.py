@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes (or characters) hashed at a time; a longer range gets a hash of its own.
@@ -112,6 +113,18 @@ def chunks(column: pa.Array, most: int = CHUNK) -> Iterator[tuple[int, int, np.n
         first = stop
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Actions within hand tasks Arrow batches of at most ``rows`` rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def owner(offsets: np.ndarray, positions: np.ndarray) -> np.ndarray:
     """The row that each position lies in."""
     return np.searchsorted(offsets, positions, "right") - 1
