@@ -9,12 +9,23 @@ from pyspark.sql import functions as F
 
 from playline import schemas
 from playline.operators.filters import received_between, reject_bad_time
-from playline.operators.joins import engagement
+from playline.operators.joins import join_media
 from playline.operators.project import EVENT_FIELDS, as_date, flatten_media, project_events, stamp
-from playline.session import prepare
+from playline.session import prepare, stage
 from playline.sinks.audit import audit
 from playline.sinks.catalog import register
-from playline.sinks.tables import append_new, read_table, write_append, write_snapshot
+from playline.sinks.tables import PARTITION, append_new, write_append
+from playline.sinks.versions import (
+    Layout,
+    has_layout,
+    holds,
+    latest,
+    publish,
+    read_version,
+    register_version,
+    rows_of,
+    sources_of,
+)
 from playline.sources.batches import (
     array_files,
     latest_batch,
@@ -54,7 +65,8 @@ def _current(spark, raw_root, dataset, folder, pointer, batches, on_missing):
 def build_dim_media(
     spark: SparkSession, raw_root: str, out_root: str, run_date=None, batches: str | None = None
 ) -> int:
-    """Replace dim_media by the current snapshot. Raises if there is none, or an empty one.
+    """Replace dim_media by the current snapshot, as a new version. Raises if there is none, or an
+    empty one; the version before then stays.
 
     Media with an unusable value, or without an id, are stored without it, and their records go
     to rejected_media.
@@ -63,9 +75,8 @@ def build_dim_media(
     day = as_date(run_date)
     path = _current(spark, raw_root, "media", MEDIA_DIR, MEDIA_POINTER, batches, "error")
     raw = read_media(spark, path)
-    rows = write_snapshot(
-        raw.transform(flatten_media).transform(stamp, day), table_path(out_root, "dim_media")
-    )
+    media = raw.transform(flatten_media).transform(stamp, day)
+    rows = publish(media, table_path(out_root, "dim_media"), day)
     noted = raw.where(F.col(CORRUPT).isNotNull()).select("id", "hashed_id", CORRUPT)
     _note(noted.transform(stamp, day), out_root, "rejected_media", day)
     return rows
@@ -159,35 +170,106 @@ class MissingTableError(ValueError):
     """A table that the engagement fact is built from is missing or empty."""
 
 
+#: The engagement fact lies by the load date of the event and by a hash of its media.
+DAY, BUCKET, MEDIA_BUCKETS = "event_load_date", "media_bucket", 16
+BY_EVENT = Layout((DAY, BUCKET), str(MEDIA_BUCKETS))
+#: What a version of the engagement fact was made from.
+SOURCES = "media_version BIGINT, load_date DATE, events BIGINT"
+
+
 def build_engagement(
-    spark: SparkSession, out_root: str, run_date=None, db: str = DB, allow_no_events: bool = False
+    spark: SparkSession,
+    out_root: str,
+    run_date=None,
+    db: str = DB,
+    allow_no_events: bool = False,
+    full: bool = False,
+    allow_empty: bool = False,
 ) -> int:
-    """Rebuild fact_media_engagement from all events and the current media.
+    """Bring fact_media_engagement up to date with all events and the current media, as a new
+    version; returns the rows that it has.
+
+    Only partitions are computed that hold events of load dates with other events than the version
+    before was made from, or events of media whose title or duration has changed since, come or gone.
+    All others keep their files. The result is that of a full computation, which is done with ``full``,
+    for the first version, and if the media that the last one was made from are gone.
 
     Raises, and leaves files and catalog as they are, if there is no media, or no table of events
-    (unless ``allow_no_events``), or if a name is registered for another place.
+    (unless ``allow_no_events``), if a name is registered for another place, or if nothing would be
+    left of a table that had rows (unless ``allow_empty``).
     """
     prepare(spark)
+    day = as_date(run_date)
     for name in ("dim_media", "fact_events"):
-        stored = read_table(spark, table_path(out_root, name), schemas.TABLES[name])
+        stored = read_version(spark, table_path(out_root, name), schemas.TABLES[name])
         if stored.isEmpty() and not (name == "fact_events" and allow_no_events):
             raise MissingTableError(f"{name} is missing or empty below {out_root}")
     for name in ("dim_media", "fact_events"):
         refresh(spark, out_root, name, db, move=False)
-    media = spark.table(f"{db}.dim_media")
-    events = spark.table(f"{db}.fact_events")
-    # No check for emptiness: it would run the join twice.
-    return write_snapshot(
-        engagement(events, media, as_date(run_date)),
-        table_path(out_root, "fact_media_engagement"),
-        allow_empty=True,
+    path, media_path = (table_path(out_root, n) for n in ("fact_media_engagement", "dim_media"))
+    events = with_place(spark.table(f"{db}.fact_events"))
+    media = read_version(spark, media_path, schemas.DIM_MEDIA)
+    # A media table that is no versioned one can't be compared with what it was.
+    media_version = latest(spark, media_path)
+    counted = events.groupBy(F.col(DAY).alias("load_date")).agg(F.count(F.lit(1)).alias("events"))
+    counted = stage(
+        counted.select(F.lit(media_version).cast("long").alias("media_version"), "load_date", "events"),
+        "event-counts",
+    )
+    touched = None if full else _touched(spark, path, media_path, events, media, counted)
+    wanted = events if touched is None else events.join(touched, [DAY, BUCKET], "left_semi")
+    used = ["media_id", "percent_viewed", "visitor_key", "event_key", "received_at", DAY, BUCKET]
+    # One shuffle, by which a partition's rows come to few files; hot ones are split.
+    rows = join_media(wanted.select(*used), media).hint("rebalance", DAY, BUCKET)
+    return publish(
+        rows.transform(stamp, day),
+        path,
+        day,
+        BY_EVENT,
+        touched,
+        allow_empty=allow_empty or rows_of(spark, path) == 0,
+        sources=counted,
+    )
+
+
+def with_place(events: DataFrame) -> DataFrame:
+    """Add the keys of the engagement fact's partitions."""
+    bucket = F.pmod(F.xxhash64("media_id"), F.lit(MEDIA_BUCKETS)).cast("int")
+    return events.withColumn(DAY, F.col(PARTITION)).withColumn(BUCKET, bucket)
+
+
+def _touched(spark, path, media_path, events, media, counted) -> DataFrame | None:
+    """Partitions that differ from the last version's; None if all have to be computed."""
+    last = latest(spark, path)
+    if last is None or not has_layout(spark, path, BY_EVENT):
+        return None
+    before = sources_of(spark, path, last, SOURCES)
+    made_from = before.select("media_version").first()
+    if made_from is None or made_from.media_version is None:
+        return None
+    if not holds(spark, media_path, made_from.media_version):
+        return None
+    same = (F.col("new.load_date") == F.col("old.load_date")) & (
+        F.col("new.events") == F.col("old.events")
     )
+    # Events are only ever added, so a load date with as many as before has the same ones.
+    days = counted.alias("new").join(before.alias("old"), same, "left_anti").select("load_date")
+    added = events.join(days, PARTITION, "left_semi").select(DAY, BUCKET)
+    used = ["hashed_id", "title", "duration"]
+    old = read_version(spark, media_path, schemas.DIM_MEDIA, made_from.media_version).select(*used)
+    new = media.select(*used)
+    changed = old.exceptAll(new).unionAll(new.exceptAll(old)).select("hashed_id").distinct()
+    changed = changed.withColumnRenamed("hashed_id", "media_id")
+    moved = events.join(changed, "media_id", "left_semi").select(DAY, BUCKET)
+    return stage(added.unionAll(moved).distinct(), "touched")
 
 
 def refresh(
     spark: SparkSession, out_root: str, name: str, db: str = DB, move: bool = True
 ) -> None:
-    register(spark, db, name, table_path(out_root, name), schemas.TABLES[name], move)
+    path = table_path(out_root, name)
+    enter = register if latest(spark, path) is None else register_version
+    enter(spark, db, name, path, schemas.TABLES[name], move)
 
 
 def run_daily(

@@ -17,6 +17,7 @@ from playline.plans.jobs import (
 from playline.sinks.landing import land_and_record, land_raw
 from playline.sources.batches import overlapping_batches
 from playline.sinks.tables import EmptySnapshotError
+from playline.sinks.versions import read_version
 from playline.sources.raw import read_events
 from playline.streaming.events import stream_deduplicated, stream_events
 
@@ -27,7 +28,7 @@ def place(raw, tmp_path):
 
 
 def rows(spark, out, name, *columns):
-    df = spark.read.schema(schemas.TABLES[name]).parquet(table_path(out, name))
+    df = read_version(spark, table_path(out, name), schemas.TABLES[name])
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 
 
