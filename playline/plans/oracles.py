@@ -187,6 +187,18 @@ BODIES = {
         FROM ev""",
     "media_snapshots": """
         SELECT media_id, title, DATE '2024-01-30' AS load_date FROM media WHERE duration < 950""",
+    "media_versions": """
+        SELECT media_id, title, DATE '2024-01-29' AS load_date FROM media
+        UNION ALL
+        SELECT media_id, title, DATE '2024-01-30' FROM media WHERE duration < 950""",
+    "engagement_by_delta": """
+        SELECT ev.media_id, percent_viewed, visitor_key, event_key, received_at, title, m.duration,
+               CAST(round(CAST(CAST(percent_viewed / 100 * m.duration AS VARCHAR)
+                    AS DECIMAL(38,18)), 2) AS DOUBLE) AS watch_time_seconds,
+               DATE '2024-01-30' AS load_date
+        FROM ev JOIN (SELECT hashed_id, title, CASE WHEN media_id % 10 = 1 THEN duration * 2
+                             ELSE duration END AS duration
+                      FROM media WHERE media_id % 3 <> 0) m ON ev.media_id = m.hashed_id""",
     "daily_load": "SELECT * FROM fact",
     "registered_tables": """
         SELECT hashed_id, title, duration, DATE '2024-01-30' AS load_date FROM media""",
@@ -209,6 +221,11 @@ BODIES = {
     "streamed_events": LOADED,
     "stream_deduplicated_events": """
         SELECT event_key, received_at, DATE '2024-01-30' AS load_date FROM ev""",
+    "stream_audit": """
+        SELECT count(*) + count_if(received_at > TIMESTAMP '2024-01-16') AS raw_rows, CAST(0 AS BIGINT) AS late,
+               count_if(received_at > TIMESTAMP '2024-01-16') AS copies, count(*) AS handed_on,
+               CAST(0 AS BIGINT) AS known, CAST(0 AS BIGINT) AS rejected, count(*) AS stored
+        FROM ev""",
 }
 
 ORACLES = {name: INPUTS + body for name, body in BODIES.items()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,7 @@ from playline.plans.jobs import (
     EVENTS_DIR,
     EVENTS_POINTER,
     MEDIA_DIR,
+    build_engagement,
     build_fact_events,
     refresh,
     run_daily,
@@ -56,6 +58,7 @@ from playline.plans.jobs import (
 from playline.session import prepare, scratch_path
 from playline.sinks.landing import land_and_record, land_raw, record_batch
 from playline.sinks.tables import append_new, write_append, write_snapshot
+from playline.sinks.versions import publish, read_version
 from playline.sources.batches import landed_batches, latest_batch, newest
 from playline.sources.raw import (
     parse_events,
@@ -67,6 +70,8 @@ from playline.sources.raw import (
 )
 from playline.streaming.events import stream_deduplicated, stream_events
 
+DAY = dt.date.fromisoformat(RUN_DATE)
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -490,6 +495,46 @@ def media_snapshots(spark, sf):
     )
 
 
+@query
+def media_versions(spark, sf):
+    """Two versions and a third whose write fails: the first by its number, and the latest."""
+    path = scratch_path(spark, "versions")
+    media = _dim(spark, sf)
+    publish(media.transform(stamp, "2024-01-29"), path, dt.date(2024, 1, 29))
+    publish(media.where(F.col("duration") < 950).transform(stamp, RUN_DATE), path, DAY)
+    lost = F.when(F.col("duration") < 950, F.col("duration")).otherwise(F.raise_error(F.lit("lost")))
+    try:
+        publish(media.withColumn("duration", lost.cast("double")).transform(stamp, RUN_DATE), path, DAY)
+    except PySparkException as error:
+        if "lost" not in str(error):
+            raise
+    read = [read_version(spark, path, schemas.DIM_MEDIA, number) for number in (1, None)]
+    return union_all(*read).select("media_id", "title", "load_date")
+
+
+def _changed_media(spark, sf):
+    """The media with a third missing, and some longer than before."""
+    media = _dim(spark, sf).where(F.col("media_id") % 3 != 0)
+    longer = F.when(F.col("media_id") % 10 == 1, F.col("duration") * 2).otherwise(F.col("duration"))
+    return media.withColumn("duration", longer)
+
+
+@query
+def engagement_by_delta(spark, sf):
+    """The engagement of half the events, brought up to date with all events and changed media."""
+    root = scratch_path(spark, "delta")
+    days = [("2024-01-16", _half(spark, sf), _dim(spark, sf))]
+    days.append((RUN_DATE, _whole(spark, sf), _changed_media(spark, sf)))
+    for day, events, media in days:
+        publish(media.transform(stamp, day), table_path(root, "dim_media"), dt.date.fromisoformat(day))
+        append_new(events.transform(_instants).transform(stamp, day), table_path(root, "fact_events"))
+        for name in ("dim_media", "fact_events"):
+            refresh(spark, root, name)
+        build_engagement(spark, root, day)
+        refresh(spark, root, "fact_media_engagement")
+    return spark.table(f"{DB}.fact_media_engagement").transform(_zoneless)
+
+
 def _stored(spark, root, name, schema):
     return spark.read.schema(schema).parquet(table_path(root, name))
 
@@ -551,9 +596,11 @@ def range_load_rejects(spark, sf):
 def stream_dedup_rejects(spark, sf):
     """Rejects of the deduplicating stream."""
     root = scratch_path(spark, "stream-rejects")
-    folder = f"{root}/{EVENTS_DIR}"
-    land_raw(_dirty_text(spark, sf), folder, RUN_TS)
-    stream_deduplicated(spark, folder, root, f"{root}/checkpoint", "60 days", RUN_DATE, "lines")
+    folder, log = f"{root}/{EVENTS_DIR}", f"{root}/landed_batches"
+    land_and_record(_dirty_text(spark, sf), folder, RUN_TS, log, "events")
+    stream_deduplicated(
+        spark, folder, root, f"{root}/checkpoint", run_date=RUN_DATE, layout="lines", batches=log
+    )
     rejects = _stored(spark, root, "rejected_events", schemas.REJECTED_EVENTS)
     return rejects.select("event_key", "reason")
 
@@ -638,24 +685,41 @@ def ad_hoc_sql(spark, sf):
 def streamed_events(spark, sf):
     """The landed batches as a stream; run again with a new checkpoint, which must add nothing."""
     root = scratch_path(spark, "stream")
-    folder, _log = _land_events(spark, sf, root)
+    folder, log = _land_events(spark, sf, root)
     for attempt in ("a", "b"):
-        stream_events(spark, folder, root, f"{root}/checkpoint-{attempt}", RUN_DATE, "lines")
+        checkpoint = f"{root}/checkpoint-{attempt}"
+        stream_events(spark, folder, root, checkpoint, RUN_DATE, "lines", batches=log)
     events = spark.read.schema(schemas.FACT_EVENTS).parquet(table_path(root, "fact_events"))
     return events.transform(_zoneless)
 
 
-@query
-def stream_deduplicated_events(spark, sf):
-    """Overlapping batches as a stream, without copies by bounded state."""
+def _deduplicated(spark, sf):
+    """Overlapping batches, the later half first, as a stream that keeps keys for an hour."""
     root = scratch_path(spark, "stream-dedup")
-    folder = f"{root}/{EVENTS_DIR}"
-    land_raw(_half(spark, sf).transform(_instants), folder, "20240116_000000")
-    land_raw(_whole(spark, sf).transform(_instants), folder, RUN_TS)
+    folder, log = f"{root}/{EVENTS_DIR}", f"{root}/landed_batches"
+    later = _whole(spark, sf).where(F.col("received_at") > ntz(MIDDLE))
+    for part, stamp_text in ((later, "20240116_000000"), (_whole(spark, sf), RUN_TS)):
+        land_and_record(part.transform(_instants), folder, stamp_text, log, "events")
+    land_raw(_half(spark, sf).withColumn("event_key", F.lit("never published")), folder, "20240131_000000")
     stream_deduplicated(
-        spark, folder, root, f"{root}/checkpoint", "60 days", RUN_DATE, "lines"
+        spark, folder, root, f"{root}/checkpoint", "1 hour", RUN_DATE, "lines", batches=log
     )
+    return root
+
+
+@query
+def stream_deduplicated_events(spark, sf):
+    """A horizon far shorter than the data, which come out of order: every event, once."""
+    root = _deduplicated(spark, sf)
     events = spark.read.schema(schemas.FACT_EVENTS).parquet(table_path(root, "fact_events"))
     return events.select("event_key", "received_at", "load_date").transform(_zoneless)
 
 
+@query
+def stream_audit(spark, sf):
+    """What became of the raw rows, over all micro-batches."""
+    log = spark.read.schema(schemas.STREAM_AUDIT).parquet(
+        table_path(_deduplicated(spark, sf), "stream_audit")
+    )
+    counts = ["raw_rows", "late", "copies", "handed_on", "known", "rejected", "stored"]
+    return log.agg(*[F.sum(name).alias(name) for name in counts])

@@ -41,6 +41,13 @@ LANDED_BATCHES = (
 )
 LOADED_BATCHES = "dataset STRING, path STRING, load_date DATE"
 AUDIT = "step STRING, run_date DATE, status STRING, rows BIGINT, finished_at TIMESTAMP"
+# Of a micro-batch: the raw rows, those too late for the state (none, as long as it goes by the
+# time of arrival), the copies it took out, the rows behind it; of those the ones stored, known
+# already, or without a usable time.
+STREAM_AUDIT = (
+    "step STRING, run_date DATE, run_id STRING, batch BIGINT, raw_rows BIGINT, late BIGINT, copies BIGINT, "
+    "handed_on BIGINT, known BIGINT, rejected BIGINT, stored BIGINT, finished_at TIMESTAMP"
+)
 
 TABLES = {
     "dim_media": DIM_MEDIA,

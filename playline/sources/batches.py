@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from playline import schemas
 from playline.operators.filters import as_instant
 from playline.sinks.tables import read_table
+from playline.sources.raw import ARRAY_FILES
 
 # End of the names of raw files (fixed value).
-STAMP = r"_(\d{8}_\d{6})\.json$"
+STAMP = r"_(\d{8}_\d{6})\.json(?:\.gz|\.bz2)?$"
 
 
 def newest(batches: DataFrame) -> DataFrame:
@@ -36,10 +37,17 @@ def raw_files(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 
 def array_files(spark: SparkSession, raw_dir: str) -> list[str]:
-    """Glob of the array files of a folder, as a list; an empty one if there is none."""
-    path = f"{raw_dir}/*.json"
-    found = _first(lambda: spark.read.format("binaryFile").load(path).select("path"))
-    return [path] if found else []
+    """Glob of the array files of a folder, as a list; an empty one if there is none. A file whose
+    name is none of a raw file raises, since it would not be read."""
+    found = _first(lambda: raw_files(spark, raw_dir).agg(F.max("run_ts").alias("run_ts")))
+    return [f"{raw_dir}/{ARRAY_FILES}"] if found and found.run_ts else []
+
+
+def published_stamps(spark: SparkSession, batches: str, dataset: str) -> list[str]:
+    """Run timestamps of the published batches that hold rows: one a run."""
+    mine = (F.col("dataset") == dataset) & (F.col("rows") > 0)
+    found = read_table(spark, batches, schemas.LANDED_BATCHES).where(mine).select("run_ts").distinct()
+    return sorted(row.run_ts for row in found.collect())
 
 
 def landed_batches(spark: SparkSession, path: str) -> DataFrame:

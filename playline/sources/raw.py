@@ -18,10 +18,13 @@ from playline import schemas
 from playline.functions import parse_number, parse_time
 
 CORRUPT = "_corrupt_record"
+# Array files of a folder, compressed ones too.
+ARRAY_KINDS = (".json", ".json.gz", ".json.bz2")
+ARRAY_FILES = "*.{json,json.gz,json.bz2}"
 
 
 def layout_of(path: str) -> str:
-    return "array" if path.rstrip("/").endswith(".json") else "lines"
+    return "array" if path.rstrip("/").endswith((*ARRAY_KINDS, ARRAY_FILES)) else "lines"
 
 
 def _json_options(layout: str) -> dict:
