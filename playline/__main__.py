@@ -25,6 +25,7 @@ def arguments() -> argparse.Namespace:
     parser.add_argument(
         "--look-back", type=int, metavar="DAYS", help="search known events only in these days"
     )
+    parser.add_argument("--key-index", action="store_true", help="keep an index of event keys")
     parser.add_argument("--from", dest="from_ts", type=dt.datetime.fromisoformat)
     parser.add_argument("--to", dest="to_ts", type=dt.datetime.fromisoformat)
     args = parser.parse_args()
@@ -50,6 +51,7 @@ def main() -> None:
             args.to_ts,
             args.batches,
             args.look_back,
+            f"{args.database}.fact_events__keys" if args.key_index else None,
         ),
         "engagement": lambda: jobs.build_engagement(
             spark, args.out_root, args.run_date, args.database
@@ -63,6 +65,7 @@ def main() -> None:
             not args.blind_append,
             args.batches,
             args.look_back,
+            args.key_index,
         ),
     }[args.job]
     print(f"{args.job}: {run()}")

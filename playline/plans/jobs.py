@@ -95,12 +95,14 @@ def store_events(
     run_date=None,
     keyed: bool = True,
     look_back: int | None = None,
+    index: str | None = None,
 ) -> int:
     """Typed raw events to fact_events. Those without a time go to rejected_events; those with
     another unusable value are stored without it, and their records go there as well.
 
     ``look_back`` limits the search for known keys to the load dates of that many days before the
     run. By default all stored keys are searched, which costs a read of their column per run.
+    ``index`` (``db.table``) names an index of them for batches beyond a broadcast.
     """
     day = as_date(run_date)
     since = None if look_back is None else day - dt.timedelta(days=look_back)
@@ -116,7 +118,9 @@ def store_events(
         _note(noted, out_root, "rejected_events", day, since)
         facts = good.transform(project_events).transform(stamp, day)
         path = table_path(out_root, "fact_events")
-        return append_new(facts, path, since=since) if keyed else write_append(facts, path)
+        if not keyed:
+            return write_append(facts, path)
+        return append_new(facts, path, since=since, index=index)
     finally:
         events.unpersist()
 
@@ -131,13 +135,14 @@ def build_fact_events(
     to_ts: dt.datetime | None = None,
     batches: str | None = None,
     look_back: int | None = None,
+    index: str | None = None,
 ) -> int | None:
     """Append new events; None if there is no new batch.
 
     New is the file that the pointer names, or with ``batches`` every published batch that no
     earlier run has recorded as loaded. (A run lost before that record loads its batches again,
-    which the keyed append makes harmless.) ``keyed=False`` appends blindly; ``look_back`` as in
-    ``store_events``. With ``from_ts`` and/or ``to_ts`` (UTC) all array files, and with ``batches``
+    which the keyed append makes harmless.) ``keyed=False`` appends blindly; ``look_back`` and
+    ``index`` as in ``store_events``. With ``from_ts`` and/or ``to_ts`` (UTC) all array files, and with ``batches``
     the published batches that overlap the range, are read for events after the one and up to the
     other.
     """
@@ -151,19 +156,20 @@ def build_fact_events(
             return 0
         # Events without a usable time stay, to be recorded as rejected.
         events = received_between(read_events(spark, paths), from_ts, to_ts)
-        return store_events(events, out_root, run_date, keyed, look_back)
+        return store_events(events, out_root, run_date, keyed, look_back, index)
     if batches:
         loaded = table_path(out_root, "loaded_batches")
         paths = unloaded_batches(spark, batches, "events", loaded)
         if not paths:
             return None
-        rows = store_events(read_events(spark, paths), out_root, run_date, keyed, look_back)
+        events = read_events(spark, paths)
+        rows = store_events(events, out_root, run_date, keyed, look_back, index)
         record_loaded(spark, loaded, "events", paths, as_date(run_date))
         return rows
     path = _current(spark, raw_root, "events", EVENTS_DIR, EVENTS_POINTER, None, "skip")
     if path is None:
         return None
-    return store_events(read_events(spark, path), out_root, run_date, keyed, look_back)
+    return store_events(read_events(spark, path), out_root, run_date, keyed, look_back, index)
 
 
 class MissingTableError(ValueError):
@@ -281,9 +287,12 @@ def run_daily(
     keyed: bool = True,
     batches: str | None = None,
     look_back: int | None = None,
+    key_index: bool = False,
 ) -> dict[str, int | None]:
     """All three jobs in order, each followed by its catalog entry and an audit row.
 
+    ``key_index`` keeps an index of the stored event keys, for batches that exceed a broadcast.
+
     A step that fails leaves a ``failed`` audit row, raises, and stops the run.
     """
     prepare(spark)
@@ -292,7 +301,14 @@ def run_daily(
     steps = {
         "dim_media": lambda: build_dim_media(spark, raw_root, out_root, day, batches),
         "fact_events": lambda: build_fact_events(
-            spark, raw_root, out_root, day, keyed, batches=batches, look_back=look_back
+            spark,
+            raw_root,
+            out_root,
+            day,
+            keyed,
+            batches=batches,
+            look_back=look_back,
+            index=f"{db}.fact_events__keys" if key_index else None,
         ),
         "fact_media_engagement": lambda: build_engagement(spark, out_root, day, db, True),
     }

@@ -34,6 +34,7 @@ from playline.operators.filters import (
     with_key,
 )
 from playline.operators.joins import engagement, lookup_stats, unmatched
+from playline.operators.lookup import BROADCAST_BYTES
 from playline.operators.project import (
     envelope,
     flatten_media,
@@ -482,6 +483,23 @@ def events_append_new(spark, sf):
     return spark.read.parquet(path).select("event_key", "load_date")
 
 
+@query
+def events_append_indexed(spark, sf):
+    """As ``events_append_new``, the stored keys found by their index and not by a broadcast."""
+    path = scratch_path(spark, "append-indexed")
+    index = f"{DB}.append_keys"
+    spark.sql(f"DROP TABLE IF EXISTS {index}")
+    limit, default = BROADCAST_BYTES
+    before = spark.conf.get(limit, str(default))
+    spark.conf.set(limit, "0")
+    try:
+        append_new(_half(spark, sf).transform(stamp, "2024-01-16"), path, index=index)
+        append_new(_whole(spark, sf).transform(stamp, RUN_DATE), path, index=index)
+    finally:
+        spark.conf.set(limit, before)
+    return spark.read.parquet(path).select("event_key", "load_date")
+
+
 @query
 def media_snapshots(spark, sf):
     """Two snapshots on two dates: only the second is left."""

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playline.operators.lookup import broadcast_limit
+from playline.sinks.catalog import PARTITION
+from playline.sinks.keys import dealt, index_of
 
-PARTITION = "load_date"
 # Copies of one row that are made at a time.
 COPIES = 10_000
 
@@ -56,7 +57,11 @@ def write_append(df: DataFrame, path: str) -> int:
 
 
 def append_new(
-    df: DataFrame, path: str, key: str | None = "event_key", since: dt.date | None = None
+    df: DataFrame,
+    path: str,
+    key: str | None = "event_key",
+    since: dt.date | None = None,
+    index: str | None = None,
 ) -> int:
     """Append only rows whose key the table does not hold yet; loading a batch twice is safe.
 
@@ -66,7 +71,8 @@ def append_new(
     later ones, for callers who know that older runs cannot return.
 
     The batch's keys are counted once. Of the stored rows only the key is read, and it is not
-    shuffled while the batch's keys fit a broadcast; beyond that it is shuffled once.
+    shuffled while the batch's keys fit a broadcast; beyond that it is shuffled once. With ``index``
+    (``db.table``), an index of the stored keys that is kept up to date, it is not shuffled then either.
     One writer at a time: plain Parquet has no transactions.
     """
     table = read_table(df.sparkSession, path, df.schema)
@@ -84,7 +90,13 @@ def append_new(
         F.count_if(has_key & (F.col("_rows") > 1)),
     ).first()
     keyed = keys.where(has_key)
-    hits = known_keys(table.where(has_key).select(key), keyed.select(key), size or 0).persist()
+    if index is not None and (size or 0) > broadcast_limit(keys):
+        stored = index_of(read_table(df.sparkSession, path, df.schema), path, key, index)
+        table_keys = stored if since is None else stored.where(F.col(PARTITION) >= F.lit(since))
+        sought = dealt(keyed.select(key), index)
+    else:
+        table_keys, sought = table, keyed.select(key)
+    hits = known_keys(table_keys.where(has_key).select(key), sought, size or 0).persist()
     try:
         fresh = df.where(has_key)
         if not hits.isEmpty():
