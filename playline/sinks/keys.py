@@ -62,10 +62,15 @@ def _differing(table: DataFrame, index: DataFrame) -> tuple[list[dt.date], list[
     return [r[0] for r in differ if r.here is not None], [r[0] for r in differ if r.here is None]
 
 
-def dealt(keys: DataFrame, name: str) -> DataFrame:
-    """Keys to seek, dealt as the index is: else more shuffle partitions than buckets would make the
-    join deal the index anew."""
-    return keys.repartition(buckets_of(keys.sparkSession, name), *keys.columns)
+def found_in(stored: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The keys that the index ``name`` holds; ``stored`` are its rows, or some load dates of them.
+
+    The keys are dealt as the index is: else, with more shuffle partitions than buckets, the join
+    would deal the index anew. (A semi-join would be moved below that.)
+    """
+    column = keys.columns[0]
+    sought = keys.repartition(buckets_of(keys.sparkSession, name), column)
+    return sought.join(stored.select(column), column).distinct()
 
 
 def buckets_of(spark: SparkSession, name: str) -> int:

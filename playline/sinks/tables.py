@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from playline.operators.lookup import broadcast_limit
 from playline.sinks.catalog import PARTITION
-from playline.sinks.keys import dealt, index_of
+from playline.sinks.keys import found_in, index_of
 
 # Copies of one row that are made at a time.
 COPIES = 10_000
@@ -92,11 +92,10 @@ def append_new(
     keyed = keys.where(has_key)
     if index is not None and (size or 0) > broadcast_limit(keys):
         stored = index_of(read_table(df.sparkSession, path, df.schema), path, key, index)
-        table_keys = stored if since is None else stored.where(F.col(PARTITION) >= F.lit(since))
-        sought = dealt(keyed.select(key), index)
+        stored = stored if since is None else stored.where(F.col(PARTITION) >= F.lit(since))
+        hits = found_in(stored.where(has_key), keyed.select(key), index).persist()
     else:
-        table_keys, sought = table, keyed.select(key)
-    hits = known_keys(table_keys.where(has_key).select(key), sought, size or 0).persist()
+        hits = known_keys(table.where(has_key).select(key), keyed.select(key), size or 0).persist()
     try:
         fresh = df.where(has_key)
         if not hits.isEmpty():

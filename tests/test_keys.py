@@ -4,7 +4,7 @@ import pytest
 from conftest import plan
 
 from playline.operators.project import stamp
-from playline.sinks.keys import dealt, index_of
+from playline.sinks.keys import found_in, index_of
 from playline.sinks.tables import append_new, known_keys, read_table, write_append
 
 COLUMNS = "event_key STRING, received_at TIMESTAMP, n DOUBLE"
@@ -49,7 +49,7 @@ def test_only_the_batch_is_shuffled(spark, settings, tmp_path, index, partitions
     keys = batch(spark, "1", "x").groupBy("event_key").count().select("event_key")
     table = read_table(spark, path, rows.schema)
     by_index = index_of(table, path, "event_key", index).select("event_key")
-    found = known_keys(by_index, dealt(keys, index), 10)
+    found = found_in(by_index, keys, index)
     assert sorted(r[0] for r in found.collect()) == ["1"]
     text = plan(found)
     # From the scan of the index to the join there is no exchange; without an index there is one.
