@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playline.llm.expressions import grams, lowest, words
+from playline.llm.expressions import grams, lowest, packed, unpacked, words
 from playline.session import stage
 
 #: Words of a window; an item of fewer words is one window as a whole.
@@ -180,11 +180,15 @@ def clean(
     item_key: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """The rows, with all their columns, that are not contaminated."""
+    """The rows, with all their columns, that are not contaminated.
+
+    Null, empty and wordless texts stay; repeated rows stay or go together; an empty table, or an empty
+    benchmark, leaves the rows as they are. Columns may have any names. Texts are read whole.
+    """
     found = judged(docs, benchmark, key, text, item_key, item_text)
     bad = found.where("contaminated").select("row_key").distinct()
-    packed = docs.select(F.struct(*docs.columns).alias("doc"), row_key(key, text))
-    return packed.join(bad, "row_key", "left_anti").select("doc.*")
+    rows = docs.select(packed(docs), row_key(key, text))
+    return unpacked(rows.join(bad, "row_key", "left_anti"), docs.columns)
 
 
 def extend(texts: DataFrame, marks: DataFrame, span: int) -> DataFrame:

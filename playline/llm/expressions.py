@@ -6,7 +6,7 @@ filter on the array, which would copy its expression into every element's.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -35,3 +35,17 @@ def lowest(column: str, window: int) -> Column:
             column, lambda x, i: F.least(x, *[F.get(column, i + c) for c in range(1, window)])
         )
     )
+
+
+def named(column: str) -> str:
+    """A column's name as one name, whatever characters it has."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def packed(docs: DataFrame) -> Column:
+    """All columns of a row as one, so that no other column can clash with them."""
+    return F.struct(*[F.col(named(c)) for c in docs.columns]).alias("doc")
+
+
+def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col("doc").getField(c).alias(c) for c in columns])

@@ -10,10 +10,10 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playline.llm.expressions import words
+from playline.llm.expressions import named, packed, words
 from playline.session import scratch_path, stage
 
 #: Labelled findings that a fit takes at most, chosen by a hash of the finding.
@@ -23,6 +23,9 @@ TREES, DEPTH, SEED = 20, 6, 7
 DICTIONARY_COUNT = 20
 #: Characters of the text kept on each side of a candidate.
 NEAR = 60
+#: Bits that an assigned value must have to be labelled a secret without a known format: what six
+#: letters of one case chosen at random have.
+LEAST_BITS = 28.0
 #: The log probability of a pair of letters that no dictionary word has.
 UNSEEN = -12.0
 
@@ -69,7 +72,7 @@ KNOWN_SAMPLE = f"({SAMPLE}|EXAMPLE(KEY)?$)"
 FEATURES = [
     "length", "digits", "upper", "lower", "marks", "distinct", "changes", "hexadecimal", "numeric",
     "issued", "transition", "coverage", "assigned", "quoted", "credential", "other", "sample",
-    "sample_path", "known_sample", "joined",
+    "sample_path", "known_sample", "joined", "bits",
 ]
 
 
@@ -77,6 +80,14 @@ def share(pattern: str) -> Column:
     return F.regexp_count("candidate", F.lit(pattern)) / F.length("candidate")
 
 
+def strength() -> Column:
+    """Bits of the candidate if its characters were chosen at random from the kinds it has."""
+    kinds = {"[a-z]": 26, "[A-Z]": 26, "[0-9]": 10, "[^A-Za-z0-9]": 33}
+    parts = [F.when(F.col("candidate").rlike(p), F.lit(n)).otherwise(0) for p, n in kinds.items()]
+    signs = parts[0] + parts[1] + parts[2] + parts[3]
+    return F.length("candidate") * F.log2(F.greatest(signs, F.lit(1)))
+
+
 def flag(column, pattern: str) -> Column:
     return F.coalesce(F.col(column).rlike(pattern), F.lit(False)).cast("double")
 
@@ -226,6 +237,7 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
         flag("path", SAMPLE).alias("sample_path"),
         flag("candidate", KNOWN_SAMPLE).alias("known_sample"),
         F.greatest(flag("left", "[@./]$"), flag("after", "^[@.]\\S")).alias("joined"),
+        F.least(strength(), F.lit(200.0)).alias("bits"),
     )
 
 
@@ -233,10 +245,11 @@ def by_rule() -> Column:
     """Labels where no person gave any: a known format, or assigned to the name of a credential.
 
     A sample word nearby rules out the latter only; a known format is a sample only by itself. Plain
-    words of the dictionary and stand-ins such as ``${PASSWORD}`` are no values.
+    words of the dictionary, stand-ins such as ``${PASSWORD}`` and values of few bits are no secrets.
     """
     plain = F.col("candidate").rlike("^[A-Za-z]+$") & (F.col("coverage") >= 1)
     value = (F.col("numeric") == 0) & ~plain & ~F.col("candidate").rlike(STAND_IN)
+    value &= F.col("bits") >= LEAST_BITS
     named = (F.col("credential") > 0) & (F.col("assigned") > 0) & value
     issued = (F.col("issued") > 0) & (F.col("known_sample") == 0)
     return (issued | (named & (F.col("other") == 0) & (F.col("sample") == 0))).cast("double")
@@ -284,7 +297,8 @@ def scan(
     ``labelled`` are findings with the columns of ``described`` and a label 0 or 1; without them the
     labels follow ``by_rule``. ``path``, where given, names the column that tells samples and tests.
     Null and empty texts have no candidates, so no rows; a null key stays null; each occurrence in a
-    repeated row is a row of its own. Other columns are not read.
+    repeated row is a row of its own. Other columns are not read. An empty table has no findings.
+    Texts are read whole; a key block without its end is followed for 400 lines.
     """
     prepared = findings(docs, key, text, path)
     known = stage(dictionary(docs, text), "dictionary")
@@ -304,26 +318,44 @@ def scan(
 
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """The documents with every found secret replaced by ``mask``, all columns kept as they were.
+    """The documents with every found secret replaced by ``mask`` where it stands, and nowhere else;
+    all other characters and all columns are kept as they were.
 
-    Each secret string is replaced wherever the document has it, longer ones first. Rows of an equal
-    key and text are redacted alike; null texts stay null.
+    A candidate of which the document has an equal one that is a secret is one too. Of findings that
+    overlap, what they cover together is replaced once. Null texts stay null, empty
+    ones empty; rows of an equal key and text are redacted alike; an empty table stays empty. Columns
+    may have any names. Texts are read whole.
     """
-    found = scan(docs, key, text).where("is_secret")
-    per_row = found.groupBy("row_key").agg(F.collect_set("candidate").alias("found_secrets"))
-    doc_id, body = F.col(key).cast("long"), F.coalesce(F.col(text).cast("string"), F.lit(""))
-    name = F.md5(F.concat_ws(" ", F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(""), body))
-    ordered = F.array_sort(
-        "found_secrets",
-        lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).otherwise(
-            F.when(a < b, -1).when(a > b, 1).otherwise(0)
-        ),
+    found = scan(docs, key, text).select("row_key", "offset", "n_chars", "candidate", "is_secret")
+    same = Window.partitionBy("row_key", "candidate")
+    found = found.distinct().withColumn("is_secret", F.max("is_secret").over(same))
+    found = found.where("is_secret").select("row_key", "offset", "n_chars")
+    order = Window.partitionBy("row_key").orderBy("offset", "n_chars")
+    covered = F.max(F.col("offset") + F.col("n_chars")).over(
+        order.rowsBetween(Window.unboundedPreceding, -1)
     )
-    own = {c: F.col(f"doc.`{c}`") for c in docs.columns}
-    clean = F.aggregate(ordered, own[text], lambda t, s: F.replace(t, s, F.lit(mask)))
-    own[text] = F.coalesce(clean, own[text])
-    packed = docs.select(F.struct(*docs.columns).alias("doc"), name.alias("row_key"))
-    joined = packed.join(per_row, "row_key", "left")
+    # What lies between the text masked so far and a finding stays; within it there is nothing new.
+    found = found.withColumn("done", F.coalesce(covered, F.lit(0).cast("long")))
+    begins = F.col("offset") >= F.col("done")
+    per_row = found.groupBy("row_key").agg(
+        F.array_sort(F.collect_list(F.when(begins, F.struct("offset", "done")))).alias("spans"),
+        F.max(F.col("offset") + F.col("n_chars")).alias("last"),
+    )
+    body, doc_id = F.col(named(text)).cast("string"), F.col(named(key)).cast("long")
+    name = F.concat_ws(
+        " ", F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(""), F.coalesce(body, F.lit(""))
+    )
+    rows = docs.select(packed(docs), body.alias("body"), F.md5(name).alias("row_key"))
+
+    def kept(span):
+        size = span["offset"] - span["done"]
+        return F.concat(F.substring(F.col("body"), span["done"] + 1, size), F.lit(mask))
+
+    tail = F.substring(F.col("body"), F.col("last") + 1, F.length("body"))
+    masked = F.concat(F.array_join(F.transform("spans", kept), ""), tail)
+    joined = rows.join(per_row, "row_key", "left")
+    masked = F.when(F.col("spans").isNull(), F.col("doc").getField(text)).otherwise(masked)
+    own = {c: F.col("doc").getField(c) for c in docs.columns} | {text: masked}
     return joined.select(*[column.alias(c) for c, column in own.items()])
 
 

@@ -302,7 +302,11 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
 
 def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text scores below 0.5; a null text is an empty one."""
+    """The rows, with all their columns, whose text scores below 0.5; a null text is an empty one.
+
+    Repeated rows stay or go together; an empty table stays empty. Columns may have any names. Texts are
+    read whole.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
 
@@ -315,4 +319,6 @@ def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFram
             if scores:
                 yield batch.filter(pa.array(np.concatenate(scores) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    # A call by Arrow takes plain names only.
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

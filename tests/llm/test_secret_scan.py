@@ -59,6 +59,48 @@ def test_forest_follows_given_labels(spark):
     assert fit(labelled.limit(0)) is None
 
 
+def secret_spans(found):
+    """By document, where candidates stand that are secrets there or equal to one."""
+    found = found.collect()
+    secrets = {(r.doc_id, r.candidate) for r in found if r.is_secret}
+    spans = {}
+    for r in found:
+        if (r.doc_id, r.candidate) in secrets:
+            spans.setdefault(r.doc_id, set()).add((r.offset, r.offset + r.n_chars))
+    return spans
+
+
+def masked(text, spans):
+    """Every character outside the spans stays; each run of covered ones becomes one mask."""
+    if text is None:
+        return None
+    out, done = [], 0
+    for first, last in sorted(spans):
+        if first >= done:
+            out += [text[done:first], "[SECRET]"]
+        done = max(done, last)
+    return "".join([*out, text[done:]])
+
+
+def test_secrets_are_masked_where_they_stand(spark):
+    texts = [
+        "The secret: a good banana is a fruit", "Your token: e is the letter",
+        "password: x9 and the box9", "password=Tr0ub4dor&3 then Tr0ub4dor&3x and 🙂 Tr0ub4dor",
+        f"é🙂 token = \"{HEX}\", pwd='two {HEX} words' {HEX}", None, "",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs = docs.unionByName(corpus(spark).selectExpr("doc_id + 100 AS doc_id", "text"))
+    docs = docs.selectExpr("*", "1 AS `a.b`", "'k' AS body", "2 AS spans")
+    spans = secret_spans(scan(docs))
+    got = redact(docs)
+    assert got.columns == docs.columns
+    clean = {r.doc_id: r.text for r in got.collect()}
+    assert clean == {r.doc_id: masked(r.text, spans.get(r.doc_id, ())) for r in docs.collect()}
+    assert [clean[i] for i in (0, 1, 2)] == texts[:3]
+    assert clean[3] == "password=[SECRET] then Tr0ub4dor&3x and 🙂 Tr0ub4dor"
+    assert HEX not in clean[4]
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     docs = corpus(spark).selectExpr("*", "'k' AS row_key", "doc_id AS found_secrets")
     docs = docs.union(docs.where("doc_id = 1")).union(docs.selectExpr(
