@@ -106,6 +106,7 @@ def store_events(
     """
     day = as_date(run_date)
     since = None if look_back is None else day - dt.timedelta(days=look_back)
+    held = events.is_cached
     events = events.persist()  # parsed once; read several times, mostly for single columns
     try:
         good, rejects = reject_bad_time(events)
@@ -122,7 +123,8 @@ def store_events(
             return write_append(facts, path)
         return append_new(facts, path, since=since, index=index)
     finally:
-        events.unpersist()
+        if not held:
+            events.unpersist()
 
 
 def build_fact_events(

@@ -228,6 +228,11 @@ BODIES = {
         FROM ev""",
 }
 
+BODIES["audience_by_country"] = f"""
+    SELECT country, count(*) AS events, count(DISTINCT visitor_key) AS visitors, {AVERAGE},
+           true AS sketch_is_near
+    FROM ev GROUP BY country"""
+BODIES["streamed_daily"] = BODIES["daily_events"]
 BODIES["events_append_indexed"] = BODIES["events_append_new"]
 
 ORACLES = {name: INPUTS + body for name, body in BODIES.items()}

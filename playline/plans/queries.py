@@ -44,6 +44,7 @@ from playline.operators.project import (
 from playline.operators.sets import union_all
 from playline.operators.windows import build_dim_visitor, paginate
 from playline.plans import reports
+from playline.plans.daily import daily_engagement
 from playline.plans.jobs import (
     DB,
     EVENTS_DIR,
@@ -56,6 +57,7 @@ from playline.plans.jobs import (
     store_events,
     table_path,
 )
+from playline.plans.sketches import audience, build_sketches
 from playline.session import prepare, scratch_path
 from playline.sinks.landing import land_and_record, land_raw, record_batch
 from playline.sinks.tables import append_new, write_append, write_snapshot
@@ -69,6 +71,7 @@ from playline.sources.raw import (
     read_pages,
     read_visitors,
 )
+from playline.streaming.daily import stream_daily
 from playline.streaming.events import stream_deduplicated, stream_events
 
 DAY = dt.date.fromisoformat(RUN_DATE)
@@ -741,3 +744,36 @@ def stream_audit(spark, sf):
     )
     counts = ["raw_rows", "late", "copies", "handed_on", "known", "rejected", "stored"]
     return log.agg(*[F.sum(name).alias(name) for name in counts])
+
+
+@query
+def streamed_daily(spark, sf):
+    """The daily report of a stream whose second micro-batch corrects days of the first; repeated."""
+    root = scratch_path(spark, "stream-daily")
+    folder, log = f"{root}/{EVENTS_DIR}", f"{root}/landed_batches"
+    publish(_dim(spark, sf).transform(stamp, RUN_DATE), table_path(root, "dim_media"), DAY)
+    every = _whole(spark, sf).transform(_instants)
+    late = F.crc32("event_key") % 3 == 0
+    for part, stamp_text in ((every.where(~late), "20240116_000000"), (every, RUN_TS)):
+        land_and_record(part, folder, stamp_text, log, "events")
+        stream_daily(spark, folder, root, f"{root}/checkpoint", RUN_DATE, "lines", batches=log)
+    stream_daily(spark, folder, root, f"{root}/again", RUN_DATE, "lines", batches=log)
+    return daily_engagement(spark, root).drop("load_date")
+
+
+@query
+def audience_by_country(spark, sf):
+    """Events and average of two loads from the sketches, the exact number of visitors from the
+    events, and whether the sketches' is near it."""
+    root = scratch_path(spark, "audience")
+    path = table_path(root, "fact_events")
+    every = project_events(raw_events(spark, sf, country=True)).transform(_instants)
+    half = every.where(F.col("received_at") <= F.lit(MIDDLE).cast("timestamp"))
+    for part, day in ((half, "2024-01-16"), (every, RUN_DATE)):
+        append_new(part.transform(stamp, day), path)
+        build_sketches(spark, root, day)
+    exact = every.groupBy("country").agg(F.count_distinct("visitor_key").alias("visitors"))
+    both = audience(spark, root, "country").withColumnRenamed("visitors", "sketched")
+    both = both.join(exact, F.col("value").eqNullSafe(F.col("country")))
+    near = F.abs(F.col("sketched") - F.col("visitors")) <= 0.05 * F.col("visitors")
+    return both.select("country", "events", "visitors", "avg_percent_viewed", near.alias("sketch_is_near"))

@@ -48,6 +48,13 @@ STREAM_AUDIT = (
     "step STRING, run_date DATE, run_id STRING, batch BIGINT, raw_rows BIGINT, late BIGINT, copies BIGINT, "
     "handed_on BIGINT, known BIGINT, rejected BIGINT, stored BIGINT, finished_at TIMESTAMP"
 )
+DAILY_ENGAGEMENT = (
+    "event_date DATE, events BIGINT, visitors BIGINT, total_watch_time_seconds DOUBLE, load_date DATE"
+)
+AUDIENCE_SKETCHES = (
+    "dimension STRING, value STRING, events BIGINT, percent_sum DECIMAL(38,9), percents BIGINT, "
+    "visitors BINARY, load_date DATE"
+)
 
 TABLES = {
     "dim_media": DIM_MEDIA,

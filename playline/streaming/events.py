@@ -2,12 +2,12 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from playline import schemas
 from playline.operators.project import as_date
 from playline.plans.jobs import store_events, table_path
 from playline.session import prepare
@@ -112,10 +112,18 @@ class BatchAudit(StreamingQueryListener):
             raise self.failure
 
 
-def _run(
-    spark: SparkSession, events: DataFrame, out_root: str, checkpoint: str, step: str, run_date, look_back
+def run_stream(
+    spark: SparkSession,
+    events: DataFrame,
+    out_root: str,
+    checkpoint: str,
+    step: str,
+    run_date=None,
+    look_back: int | None = None,
+    after: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Every micro-batch through the keyed append, with a row in the audit."""
+    """Every micro-batch through the keyed append, with a row in the audit; ``after`` is then called
+    with the batch and the number of rows stored."""
     day = as_date(run_date)
     audit = BatchAudit(spark, table_path(out_root, "stream_audit"), step, day)
 
@@ -127,10 +135,15 @@ def _run(
             F.count(F.lit(1)).alias("handed_on"),
             F.count_if(F.col("received_at").isNull()).alias("rejected"),
         )
+        if after is not None:
+            rows = rows.persist()  # read once more behind the append
         stored = store_events(rows, out_root, day, look_back=look_back)
         seen = counted.get
         known = seen["handed_on"] - seen["rejected"] - stored
         audit.note(number, **seen, known=known, stored=stored)
+        if after is not None:
+            after(rows, stored)
+            rows.unpersist()
 
     spark.streams.addListener(audit)
     try:
@@ -164,7 +177,7 @@ def stream_events(
     """
     prepare(spark)
     events = raw_event_stream(spark, raw_dir, layout, max_files, batches)
-    return _run(spark, events, out_root, checkpoint, "stream_events", run_date, look_back)
+    return run_stream(spark, events, out_root, checkpoint, "stream_events", run_date, look_back)
 
 
 def dedup_within(df: DataFrame, horizon: str = "2 days") -> DataFrame:
@@ -196,4 +209,4 @@ def stream_deduplicated(
     append, which finds the copies that come later; rejects are stored, and a replay adds nothing."""
     prepare(spark)
     events = dedup_within(raw_event_stream(spark, raw_dir, layout, max_files, batches), horizon)
-    return _run(spark, events, out_root, checkpoint, "stream_deduplicated", run_date, None)
+    return run_stream(spark, events, out_root, checkpoint, "stream_deduplicated", run_date)
