@@ -62,6 +62,11 @@ def _current(spark, raw_root, dataset, folder, pointer, batches, on_missing):
     )
 
 
+def current_media(spark: SparkSession, raw_root: str, batches: str | None = None) -> str:
+    """Path of the current media snapshot. Raises if there is none."""
+    return _current(spark, raw_root, "media", MEDIA_DIR, MEDIA_POINTER, batches, "error")
+
+
 def build_dim_media(
     spark: SparkSession, raw_root: str, out_root: str, run_date=None, batches: str | None = None
 ) -> int:
@@ -73,8 +78,7 @@ def build_dim_media(
     """
     prepare(spark)
     day = as_date(run_date)
-    path = _current(spark, raw_root, "media", MEDIA_DIR, MEDIA_POINTER, batches, "error")
-    raw = read_media(spark, path)
+    raw = read_media(spark, current_media(spark, raw_root, batches))
     media = raw.transform(flatten_media).transform(stamp, day)
     rows = publish(media, table_path(out_root, "dim_media"), day)
     noted = raw.where(F.col(CORRUPT).isNotNull()).select("id", "hashed_id", CORRUPT)

@@ -232,6 +232,13 @@ BODIES["audience_by_country"] = f"""
     SELECT country, count(*) AS events, count(DISTINCT visitor_key) AS visitors, {AVERAGE},
            true AS sketch_is_near
     FROM ev GROUP BY country"""
+BODIES["engagement_statistics_load"] = """
+    SELECT media_id, plays, error,
+           (SELECT count(*) FROM found WHERE error IS NOT NULL) AS all_failed FROM found"""
+BODIES["visitors_load"] = """
+    SELECT visitor_key, count(*) OVER () AS audited_rows FROM (
+      SELECT visitor_key, row_number() OVER (ORDER BY visitor_key) AS place
+      FROM (SELECT DISTINCT visitor_key FROM ev)) WHERE place <= 600"""
 BODIES["streamed_daily"] = BODIES["daily_events"]
 BODIES["events_append_indexed"] = BODIES["events_append_new"]
 

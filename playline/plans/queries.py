@@ -57,6 +57,12 @@ from playline.plans.jobs import (
     store_events,
     table_path,
 )
+from playline.plans.landings import (
+    ENGAGEMENT_DIR,
+    VISITORS_DIR,
+    load_engagement_statistics,
+    load_visitors,
+)
 from playline.plans.sketches import audience, build_sketches
 from playline.session import prepare, scratch_path
 from playline.sinks.landing import land_and_record, land_raw, record_batch
@@ -777,3 +783,37 @@ def audience_by_country(spark, sf):
     both = both.join(exact, F.col("value").eqNullSafe(F.col("country")))
     near = F.abs(F.col("sketched") - F.col("visitors")) <= 0.05 * F.col("visitors")
     return both.select("country", "events", "visitors", "avg_percent_viewed", near.alias("sketch_is_near"))
+
+
+@query
+def engagement_statistics_load(spark, sf):
+    """Envelopes of all media of the current snapshot with a key, as landed, and their audit."""
+    root = scratch_path(spark, "statistics")
+    log = f"{root}/landed_batches"
+    media = media_with_gaps(spark, sf).withColumnRenamed("media_id", "id")
+    land_and_record(media, f"{root}/{MEDIA_DIR}", RUN_TS, log, "media")
+    counts = load_engagement_statistics(
+        spark, root, root, stats(spark, sf), RUN_TS, log, RUN_DATE, from_batches=True
+    )
+    landed = read_engagement(spark, f"{root}/{ENGAGEMENT_DIR}/run_ts={RUN_TS}")
+    field = lambda name, kind: F.try_variant_get("engagement", f"$.{name}", kind).alias(name)
+    return landed.select(
+        "media_id",
+        field("plays", "bigint"),
+        field("error", "string"),
+        F.lit(counts["failed"]).cast("bigint").alias("all_failed"),
+    )
+
+
+@query
+def visitors_load(spark, sf):
+    """Visitors landed from pages of which the seventh is empty: those of the first six."""
+    root = scratch_path(spark, "visitors-load")
+    keys = raw_events(spark, sf).select("visitor_key").distinct()
+    pages = paginate(keys, [], ["visitor_key"]).where(F.col("page") != 7)
+    visitor = F.parse_json(F.to_json(F.struct("visitor_key"))).alias("visitor")
+    load_visitors(spark, pages.select("page", visitor), root, root, RUN_TS, f"{root}/log", RUN_DATE)
+    landed = read_visitors(spark, f"{root}/{VISITORS_DIR}/run_ts={RUN_TS}")
+    key = F.try_variant_get("visitor", "$.visitor_key", "string").alias("visitor_key")
+    audited = spark.read.schema(schemas.AUDIT).parquet(table_path(root, "audit")).first()
+    return landed.select(key, F.lit(audited.rows).cast("bigint").alias("audited_rows"))

@@ -41,17 +41,18 @@ def land_raw(df: DataFrame, raw_dir: str, run_ts: dt.datetime | str) -> tuple[st
     return path, seen["rows"]
 
 
-def _land(df: DataFrame, raw_dir: str, run_ts: dt.datetime | str) -> tuple[str | None, dict]:
+def _land(
+    df: DataFrame, raw_dir: str, run_ts: dt.datetime | str, as_text: bool = False
+) -> tuple[str | None, dict]:
     if df.isEmpty():
         return None, {"rows": 0}
     path = f"{raw_dir.rstrip('/')}/run_ts={run_ts_text(run_ts)}"
     seen = Observation()
     # The default format would cut times to milliseconds.
-    (
-        df.observe(seen, F.count(F.lit(1)).alias("rows"), *_span(df))
-        .write.option("timestampFormat", schemas.JSON_TIME)
-        .json(path)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), *_span(df)).write.option(
+        "timestampFormat", schemas.JSON_TIME
     )
+    writer.text(path) if as_text else writer.json(path)
     return path, seen.get
 
 
@@ -90,9 +91,15 @@ def record_batch(
 
 
 def land_and_record(
-    df: DataFrame, raw_dir: str, run_ts: dt.datetime | str, batches: str, dataset: str
+    df: DataFrame,
+    raw_dir: str,
+    run_ts: dt.datetime | str,
+    batches: str,
+    dataset: str,
+    as_text: bool = False,
 ) -> str | None:
-    """Land, then publish. A failed landing raises and publishes nothing."""
-    path, seen = _land(df, raw_dir, run_ts)
+    """Land, then publish. A failed landing raises and publishes nothing. With ``as_text``, ``df`` has
+    one column of lines that are JSON already."""
+    path, seen = _land(df, raw_dir, run_ts, as_text)
     record_batch(df.sparkSession, batches, dataset, path, run_ts, **seen)
     return path

@@ -1,0 +1,93 @@
+import json
+
+import pytest
+from conftest import media
+from pyspark.sql import functions as F
+
+from playline import schemas
+from playline.plans.jobs import table_path
+from playline.plans.landings import load_engagement_statistics, load_visitors, until_gap
+from playline.sources.batches import landed_batches
+from playline.sources.raw import read_engagement, read_pages, read_visitors
+
+TS = "20240130_235000"
+
+
+def log(spark, out):
+    df = spark.read.schema(schemas.AUDIT).parquet(table_path(out, "audit"))
+    return sorted((r.step, r.status, r.rows) for r in df.collect())
+
+
+def published(spark, path):
+    return {r.dataset: (r.path, r.rows) for r in landed_batches(spark, path).collect()}
+
+
+def stats(spark, **known):
+    rows = [(k, json.dumps(v)) for k, v in known.items()]
+    return spark.createDataFrame(rows, "media_id STRING, engagement STRING")
+
+
+def test_statistics_of_the_current_media(spark, raw, tmp_path):
+    out, batches = str(tmp_path / "out"), str(tmp_path / "log")
+    raw.media("20240129_235000", [media(9)])
+    raw.media("20240130_235000", [media(1), media(2), media(3, hashed_id=""), media(4, hashed_id=None)])
+    known = stats(spark, h1={"plays": 3, "more": {"deep": ["é", None]}}, h9={"plays": 9})
+    got = load_engagement_statistics(spark, str(raw.root), out, known, TS, batches, "2024-01-30")
+    assert got == {"found": 1, "failed": 1}
+    path, rows = published(spark, batches)["engagement"]
+    assert rows == 2
+    landed = read_engagement(spark, path).select("media_id", F.to_json("engagement").alias("e"))
+    objects = {r.media_id: json.loads(r.e) for r in landed.collect()}
+    assert objects["h1"] == {"plays": 3, "more": {"deep": ["é", None]}}
+    assert objects["h2"] == {"media_id": "h2", "error": "no statistics for media h2"}
+    assert log(spark, out) == [("engagement_errors", "ok", 1), ("engagement_statistics", "ok", 2)]
+
+
+def test_failed_statistics_publish_nothing(spark, raw, tmp_path):
+    out, batches = str(tmp_path / "out"), str(tmp_path / "log")
+    with pytest.raises(FileNotFoundError):
+        load_engagement_statistics(spark, str(raw.root), out, stats(spark, h1={}), TS, batches)
+    raw.media("20240130_235000", [media(1)])
+    broken = spark.createDataFrame([("h1", "{no json")], "media_id STRING, engagement STRING")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        load_engagement_statistics(spark, str(raw.root), out, broken, TS, batches)
+    assert [r[:2] for r in log(spark, out)] == [("engagement_statistics", "failed")] * 2
+    assert not (tmp_path / "log").exists()
+
+
+def visitor_pages(spark, raw, **pages):
+    for number, visitors in pages.items():
+        raw.write(f"pages/page={number[1:]}/visitors.json", visitors)
+    return read_pages(spark, str(raw.root / "pages"), dataset="visitors")
+
+
+def test_visitors_up_to_the_first_empty_page(spark, raw, tmp_path):
+    out, batches = str(tmp_path / "out"), str(tmp_path / "log")
+    pages = visitor_pages(
+        spark, raw,
+        p1=[{"visitor_key": "a", "tags": ["x"]}, {"visitor_key": "b\nc", "renamed": 1.5}],
+        p2=[{"visitor_key": "d"}], p3=[], p4=[{"visitor_key": "behind"}],
+    )
+    assert load_visitors(spark, pages, str(raw.root), out, TS, batches, "2024-01-30") == 3
+    path, rows = published(spark, batches)["visitors"]
+    landed = read_visitors(spark, path).select(F.to_json("visitor").alias("v")).collect()
+    visitors = sorted((json.loads(r.v) for r in landed), key=lambda v: v["visitor_key"])
+    assert rows == 3 and visitors == [
+        {"visitor_key": "a", "tags": ["x"]}, {"visitor_key": "b\nc", "renamed": 1.5}, {"visitor_key": "d"}]
+    assert log(spark, out) == [("visitors", "ok", 3)]
+
+
+def test_no_visitors(spark, raw, tmp_path):
+    out, batches = str(tmp_path / "out"), str(tmp_path / "log")
+    pages = visitor_pages(spark, raw, p1=[], p2=[{"visitor_key": "behind"}])
+    assert load_visitors(spark, pages, str(raw.root), out, TS, batches, "2024-01-30") == 0
+    assert published(spark, batches) == {"visitors": (None, 0)}
+    assert log(spark, out) == [("visitors", "skipped", 0)]
+
+
+def test_pages_without_a_gap_all_count(spark):
+    pages = spark.range(1, 41).selectExpr("id AS page", "id AS visitor")
+    assert until_gap(pages).count() == 40
+    assert until_gap(pages.where("page NOT IN (1)")).count() == 0
+    assert until_gap(pages.where("page NOT IN (7, 30)")).count() == 6
+    assert until_gap(pages.limit(0)).count() == 0
