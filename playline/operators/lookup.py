@@ -30,21 +30,34 @@ def fits_broadcast(df: DataFrame) -> bool:
     return measured_bytes(df) <= broadcast_limit(df)
 
 
+def spark_broadcasts(df: DataFrame) -> bool:
+    """Whether Spark broadcasts ``df`` by its own estimate, taken without a job. A measure could not
+    change that."""
+    spark = df.sparkSession
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if text.startswith("-"):  # never
+        return False
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= limit
+
+
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", computed: bool = False
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` on equally named columns; ``how`` is inner, left,
     left_semi or left_anti.
 
-    A lookup that is just read is measured, by a scan of the columns it needs. If it is small, it
-    is broadcast: the facts are not shuffled, so no key can be hot. Otherwise, and for a
-    ``computed`` lookup, which measuring would compute twice, the runtime chooses by real sizes,
-    and splits the partitions of hot keys (``session.SETTINGS``). The facts are read once.
+    A lookup that is just read is measured, by a scan of the columns it needs, unless Spark broadcasts
+    it anyway. If it is small, it is broadcast: the facts are not shuffled, so no key can be hot.
+    Otherwise, and for a ``computed`` lookup, which measuring would compute twice, the runtime
+    chooses by real sizes, and splits the partitions of hot keys (``session.SETTINGS``). The facts
+    are read once.
     """
     semi = how in ("left_semi", "left_anti")
     if semi:
         lookup = lookup.select(*on)
     extra = [] if semi else [c for c in lookup.columns if c not in on]
-    if not computed and fits_broadcast(lookup):
+    if not computed and not spark_broadcasts(lookup) and fits_broadcast(lookup):
         lookup = F.broadcast(lookup)
     return facts.join(lookup, on, how).select(*facts.columns, *extra)

@@ -244,5 +244,7 @@ def test_a_raw_file_without_a_timestamp_raises(spark, raw):
     folder = str(raw.root / "raw_data/media")
     assert latest_batch(spark, folder).endswith("_20240130_235000.json")
     raw.write("raw_data/media/media_20240131_235000.json.gz", "x")
+    assert latest_batch(spark, folder).endswith("_20240131_235000.json.gz")
+    raw.write("raw_data/media/media_20240131_235000.jsonl", "x")
     with pytest.raises(Exception, match="without a run timestamp"):
         latest_batch(spark, folder)
