@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playline.llm.spans import (
@@ -18,9 +18,12 @@ from playline.llm.spans import (
     owner,
     span_hashes,
 )
+from playline.session import stage
 
-#: Labelled rows that a fit takes at most, chosen by a hash of their key.
+#: Labelled keys that a fit takes at most, chosen by a hash of their key.
 TRAIN_ROWS = 20_000
+#: Bytes that their texts have together at most; the driver gets about as many, or fewer.
+TRAIN_BYTES = 1 << 27
 #: Words a model weighs at most: those whose presence differs most between the labels.
 FEATURES = 20_000
 #: A word must occur in so many labelled texts.
@@ -77,24 +80,18 @@ def distinct(hashes, rows, count):
     return hashes[first], np.searchsorted(rows[first], np.arange(count + 1))
 
 
-def swaps(hashes, rows, starts, data, groups):
-    """Sentences with an identity term, as words, each with the same one after a swap."""
-    known = np.array(sorted(groups), U64)
-    hits = np.flatnonzero(np.isin(hashes, known))
+def sentences(hashes, rows, starts, data, terms):
+    """Rows and distinct words of the sentences with an identity term, and the terms of each."""
     breaks = np.cumsum(STOP[data])
-    sentence = breaks[starts] if len(starts) else starts
-    out = []
-    for i in hits.tolist():
-        low, high = i, i + 1
-        while low > 0 and rows[low - 1] == rows[i] and sentence[low - 1] == sentence[i]:
-            low -= 1
-        while high < len(rows) and rows[high] == rows[i] and sentence[high] == sentence[i]:
-            high += 1
-        own = set(hashes[low:high].tolist())
-        term = int(hashes[i])
-        for other in groups[term]:
-            out.append((rows[i], sorted(own), sorted(own - {term} | {other})))
-    return out
+    place = breaks[starts] if len(starts) else starts
+    begins = np.ones(len(hashes), bool)
+    begins[1:] = (place[1:] != place[:-1]) | (rows[1:] != rows[:-1])
+    borders = np.append(np.flatnonzero(begins), len(hashes))
+    of_word = np.cumsum(begins) - 1
+    for sentence in np.unique(of_word[np.isin(hashes, terms)]).tolist():
+        low, high = borders[sentence], borders[sentence + 1]
+        own = np.unique(hashes[low:high])
+        yield rows[low], own, own[np.isin(own, terms)]
 
 
 def identity_groups() -> dict[int, list[int]]:
@@ -128,63 +125,121 @@ class Model:
 
 
 class Sparse:
-    """Rows of 0/1 features."""
+    """Rows of 0/1 features, as places in the list of words; sums go over blocks of rows."""
+
+    BLOCK = 1 << 20
+
+    def __init__(self, lists: list[np.ndarray], width: int):
+        self.count, self.width = len(lists), width
+        self.at = np.concatenate([np.empty(0, np.int32), *lists]).astype(np.int32, copy=False)
+        self.places = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
 
-    def __init__(self, lists: list[np.ndarray], words: np.ndarray):
-        self.count = len(lists)
-        flat = np.concatenate([np.empty(0, U64), *lists])
-        rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        at = np.searchsorted(words, flat)
-        at[at == len(words)] = 0
-        hit = words[at] == flat if len(words) else np.zeros(len(flat), bool)
-        self.at, self.rows, self.width = at[hit], rows[hit], len(words)
+    def blocks(self):
+        first = 0
+        while first < self.count:
+            most = self.places[first] + self.BLOCK
+            stop = max(int(np.searchsorted(self.places, most, "right")) - 1, first + 1)
+            stop = min(stop, self.count)
+            own = self.places[first : stop + 1]
+            yield first, stop, self.at[own[0] : own[-1]], own - own[0]
+            first = stop
 
     def times(self, weights):
-        return np.bincount(self.rows, weights[self.at], self.count)
+        out = np.empty(self.count)
+        for first, stop, at, places in self.blocks():
+            total = np.concatenate([[0.0], np.cumsum(weights[at])])
+            out[first:stop] = total[places[1:]] - total[places[:-1]]
+        return out
 
     def back(self, values):
-        return np.bincount(self.at, values[self.rows], self.width)
+        out = np.zeros(self.width)
+        for first, stop, at, places in self.blocks():
+            out += np.bincount(at, np.repeat(values[first:stop], np.diff(places)), self.width)
+        return out
+
+
+@dataclass
+class Swaps:
+    """Sentences, and for each swap its sentence, the word that goes and the one that comes (the
+    place behind all words where the sentence has that one already)."""
+
+    sentences: Sparse
+    of: np.ndarray
+    gone: np.ndarray
+    new: np.ndarray
+
+
+def places_of(hashes, words) -> np.ndarray:
+    """Places of those hashes that are among the ascending ``words``."""
+    at = np.searchsorted(words, hashes)
+    at[at == len(words)] = 0
+    return at[words[at] == hashes].astype(np.int32) if len(words) else np.empty(0, np.int32)
 
 
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def choose(lists, labels, most) -> np.ndarray:
-    """The words whose share of texts differs most between the labels, in standard errors."""
+def train(lists, labels, pairs, penalty=COUNTERFACTUAL, ridge=RIDGE, steps=STEPS) -> Model:
+    """Fit on texts as arrays of distinct word hashes, and on swaps as pairs of such arrays."""
+    labels = np.asarray(labels, float)
+    if constant := only_label(len(labels), labels.sum()):
+        return constant
     flat = np.concatenate([np.empty(0, U64), *lists])
-    long = np.repeat(labels, [len(x) for x in lists])
     words, which, seen = np.unique(flat, return_inverse=True, return_counts=True)
-    toxic = np.bincount(which, long, len(words))
+    toxic = np.bincount(which, np.repeat(labels, [len(x) for x in lists]), len(words))
     share = labels.mean()
     strength = np.abs(toxic - seen * share) / np.sqrt(seen * share * (1 - share) + 1e-9)
     strength[seen < FEWEST_TEXTS] = -1
-    best = np.argsort(-strength, kind="stable")[:most]
-    return np.sort(words[best[strength[best] >= 0]])
+    best = np.argsort(-strength, kind="stable")[:FEATURES]
+    words = with_terms(words[best[strength[best] >= 0]])
+
+    def place(hashes, other):
+        found = places_of(np.setdiff1d(hashes, other), words)
+        return int(found[0]) if len(found) else len(words)
+
+    swaps = Swaps(
+        Sparse([places_of(a, words) for a, _ in pairs], len(words)),
+        np.arange(len(pairs)),
+        np.array([place(a, b) for a, b in pairs], np.int64),
+        np.array([place(b, a) for a, b in pairs], np.int64),
+    )
+    x = Sparse([places_of(own, words) for own in lists], len(words))
+    return solve(words, x, labels, swaps, penalty, ridge, steps)
 
 
-def train(lists, labels, pairs, penalty=COUNTERFACTUAL, ridge=RIDGE, steps=STEPS) -> Model:
+def only_label(count, toxic) -> Model | None:
+    """The constant for texts of one label or none."""
+    if 0 < toxic < count:
+        return None
+    return Model(np.empty(0, U64), np.empty(0), 5.0 if toxic else -5.0)
+
+
+def with_terms(words) -> np.ndarray:
+    return np.union1d(words, np.array(sorted(identity_groups()), U64))
+
+
+def solve(words, x, labels, swaps, penalty=COUNTERFACTUAL, ridge=RIDGE, steps=STEPS) -> Model:
     """Logistic loss, squared weights, and the mean squared change of the score by swaps."""
-    labels = np.asarray(labels, float)
-    if not len(labels) or labels.min() == labels.max():
-        return Model(np.empty(0, U64), np.empty(0), -5.0 if not labels.any() else 5.0)
-    words = choose(lists, labels, FEATURES)
-    terms = np.array(sorted(identity_groups()), U64)
-    words = np.union1d(words, terms)
-    x = Sparse(lists, words)
-    one = Sparse([np.array(a, U64) for a, _ in pairs], words)
-    two = Sparse([np.array(b, U64) for _, b in pairs], words)
+    count = len(swaps.of)
     weights, bias = np.zeros(len(words)), float(np.log(labels.mean() / (1 - labels.mean())))
     speed, change, bias_speed, bias_change = np.zeros(len(words)), np.zeros(len(words)), 0.0, 0.0
     for step in range(1, steps + 1):
         p = sigmoid(x.times(weights) + bias)
         error = (p - labels) / x.count
         slope, bias_slope = x.back(error) + ridge * weights, error.sum()
-        if pairs:
-            a, b = sigmoid(one.times(weights) + bias), sigmoid(two.times(weights) + bias)
-            gap = 2 * penalty * (a - b) / len(pairs)
-            slope += one.back(gap * a * (1 - a)) - two.back(gap * b * (1 - b))
-            bias_slope += (gap * a * (1 - a) - gap * b * (1 - b)).sum()
+        if count:
+            # The place behind all words weighs nothing.
+            known = np.append(weights, 0.0)
+            before = (swaps.sentences.times(weights) + bias)[swaps.of]
+            a, b = sigmoid(before), sigmoid(before - known[swaps.gone] + known[swaps.new])
+            gap = 2 * penalty * (a - b) / count
+            up, down = gap * a * (1 - a), gap * b * (1 - b)
+            both = np.bincount(swaps.of, up - down, swaps.sentences.count)
+            slope += swaps.sentences.back(both)
+            slope += np.bincount(swaps.gone, down, len(words) + 1)[:-1]
+            slope -= np.bincount(swaps.new, down, len(words) + 1)[:-1]
+            bias_slope += (up - down).sum()
         # Adam, with its usual constants.
         change = 0.9 * change + 0.1 * slope
         speed = 0.999 * speed + 0.001 * slope**2
@@ -208,8 +263,8 @@ def best_cut(margin, labels) -> float:
 
 
 def labelled(docs, labels, key, text, label, rows) -> DataFrame:
-    """The bounded sample of labelled rows outside the held-out fold; one label a key, the larger
-    of several."""
+    """Texts of the bounded sample of labelled keys outside the held-out fold; one label a key, the
+    larger of several."""
     marks = (
         labels.select(F.col(key).cast("long").alias("doc_id"), F.col(label).alias("label"))
         .where(F.col("label").isNotNull() & ~held_out())
@@ -219,7 +274,20 @@ def labelled(docs, labels, key, text, label, rows) -> DataFrame:
         .limit(rows)
     )
     # At most ``rows`` marks of two numbers, so their size is known.
-    return id_and_text(docs, key, text).join(F.broadcast(marks), "doc_id").select("label", "utf8")
+    joined = id_and_text(docs, key, text).join(F.broadcast(marks), "doc_id")
+    return joined.where(F.col("utf8").isNotNull()).select(
+        "doc_id", F.col("label").cast("long").alias("label"), "utf8"
+    )
+
+
+def within(sample: DataFrame, most: int) -> DataFrame:
+    """The rows of those keys, in the sample's order, whose texts have ``most`` bytes together; a
+    key that has more alone is passed over."""
+    sizes = sample.groupBy("doc_id").agg(F.sum("bytes").alias("own")).where(F.col("own") <= most)
+    # One row a key of the sample, so the window has few.
+    running = F.sum("own").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    keys = sizes.select("doc_id", running.alias("sum")).where(F.col("sum") <= most)
+    return sample.join(F.broadcast(keys.select("doc_id")), "doc_id", "left_semi")
 
 
 def held_out():
@@ -235,42 +303,135 @@ def fit(
     text: str = "text",
     label: str = "toxic",
     rows: int = TRAIN_ROWS,
+    most: int = TRAIN_BYTES,
 ) -> Model:
-    """Fit on at most ``rows`` labelled texts whose key's crc32, as text, is no multiple of 5.
-
-    Features are the distinct words of a whole text. Rows without a key, text or label are left out
-    of the fit (an empty text has no words and stays in). Without labelled rows, or with only one
-    kind of label, the score is a constant.
+    """Fit on the texts of at most ``rows`` labelled keys, of ``most`` bytes together, whose crc32, as
+    text, is no multiple of 5.
+
+    Features are the distinct words of a whole text. They are counted by label in Spark; the driver gets
+    the best of them and, of each text and each sentence with an identity term, their places, at four
+    bytes each. A sentence counts once for each of its terms and each other term of that line. Rows without
+    a key, text or label are left out of the fit (an empty text has no words and stays in); all rows of a
+    key that stands more than once are fitted. Without labelled rows, or with only one kind of label, the
+    score is a constant. A text may be of any length below ``most``, as one sentence too.
     """
     groups = identity_groups()
+    terms = np.array(sorted(groups), U64)
 
-    def run(batches):
+    def split(batches):
         for batch in batches:
-            for first, stop, data, offsets in chunks(batch.column(1)):
+            for first, stop, data, offsets in chunks(batch.column(2)):
                 hashes, found, starts = tokens(data, offsets)
                 own, places = distinct(hashes, found, stop - first)
-                swapped = [[] for _ in range(stop - first)]
-                for row, a, b in swaps(hashes, found, starts, data, groups):
-                    swapped[row] += [np.array(a, U64).tobytes(), np.array(b, U64).tobytes()]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "label": batch.column(0).slice(first, stop - first).cast(pa.int64()),
-                        "words": pa.array(
-                            [own[a:b].tobytes() for a, b in zip(places, places[1:])], pa.binary()
+                said = [[] for _ in range(stop - first)]
+                for row, words, hit in sentences(hashes, found, starts, data, terms):
+                    said[row].append({"words": words.tobytes(), "terms": hit.tobytes()})
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, stop - first),
+                        batch.column(1).slice(first, stop - first),
+                        pa.array(np.diff(offsets)),
+                        pa.array([own[a:b].tobytes() for a, b in zip(places, places[1:])], pa.binary()),
+                        pa.array(
+                            said, pa.list_(pa.struct([("words", pa.binary()), ("terms", pa.binary())]))
                         ),
-                        "swaps": pa.array(swapped, pa.list_(pa.binary())),
-                    }
+                    ],
+                    ["doc_id", "label", "bytes", "words", "sentences"],
                 )
 
-    sample = labelled(docs, labels, key, text, label, rows).where(F.col("utf8").isNotNull())
-    got = sample.mapInArrow(run, "label long, words binary, swaps array<binary>").toArrow()
-    lists = [np.frombuffer(w, U64) for w in got.column("words").to_pylist()]
-    pairs = [
-        (np.frombuffer(s[i], U64), np.frombuffer(s[i + 1], U64))
-        for s in got.column("swaps").to_pylist()
-        for i in range(0, len(s), 2)
-    ]
-    return train(lists, got.column("label").to_pylist(), pairs)
+    def count(batches):
+        for batch in batches:
+            own = [np.frombuffer(w, U64) for w in batch.column(1).to_pylist()]
+            flat = np.concatenate([np.empty(0, U64), *own])
+            marks = np.repeat(np.asarray(batch.column(0)), [len(x) for x in own])
+            words, which, seen = np.unique(flat, return_inverse=True, return_counts=True)
+            toxic = np.bincount(which, marks, len(words)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words.view(np.int64)), pa.array(seen), pa.array(toxic)],
+                ["word", "seen", "toxic"],
+            )
+
+    spark = docs.sparkSession
+    sample = labelled(docs, labels, key, text, label, rows).mapInArrow(
+        split,
+        "doc_id long, label long, bytes long, words binary, "
+        "sentences array<struct<words: binary, terms: binary>>",
+    )
+    sample = within(stage(sample, "toxicity-sample"), most)
+    total = sample.agg(F.count("label").alias("count"), F.sum("label").alias("toxic")).first()
+    if constant := only_label(total["count"], total["toxic"] or 0):
+        return constant
+    share = total["toxic"] / total["count"]
+    expected = F.col("seen") * share
+    best = (
+        sample.select("label", "words")
+        .mapInArrow(count, "word long, seen long, toxic long")
+        .groupBy("word")
+        .agg(F.sum("seen").alias("seen"), F.sum("toxic").alias("toxic"))
+        .where(F.col("seen") >= FEWEST_TEXTS)
+        # Ties go to the smaller hash, without sign.
+        .orderBy(
+            F.desc(F.abs(F.col("toxic") - expected) / F.sqrt(expected * (1 - share) + 1e-9)),
+            F.col("word") < 0,
+            "word",
+        )
+        .limit(FEATURES)
+        .select("word")
+        .toArrow()
+    )
+    words = with_terms(best.column("word").to_numpy().astype(np.int64).view(U64))
+    shared = spark.sparkContext.broadcast(words)
+
+    def place(batches):
+        for batch in batches:
+            own = [
+                places_of(np.frombuffer(w, U64), shared.value).tobytes()
+                for w in batch.column(1).to_pylist()
+            ]
+            said = [
+                [
+                    {
+                        part: places_of(np.frombuffer(s[part], U64), shared.value).tobytes()
+                        for part in ("words", "terms")
+                    }
+                    for s in row
+                ]
+                for row in batch.column(2).to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(own, pa.binary()),
+                    pa.array(said, pa.list_(pa.struct([("words", pa.binary()), ("terms", pa.binary())]))),
+                ],
+                ["label", "words", "sentences"],
+            )
+
+    got = (
+        sample.select("label", "words", "sentences")
+        .mapInArrow(
+            place, "label long, words binary, sentences array<struct<words: binary, terms: binary>>"
+        )
+        .toArrow()
+    )
+    shared.destroy()
+    x = Sparse([np.frombuffer(w, np.int32) for w in got.column("words").to_pylist()], len(words))
+    said = [s for row in got.column("sentences").to_pylist() for s in row]
+    own = [np.frombuffer(s["words"], np.int32) for s in said]
+    others = {
+        int(places_of(np.array([term], U64), words)[0]): places_of(np.array(sorted(rest), U64), words)
+        for term, rest in groups.items()
+    }
+    of, gone, new = [], [], []
+    for at, sentence in enumerate(said):
+        for term in np.frombuffer(sentence["terms"], np.int32).tolist():
+            come = others[term]
+            of.append(np.full(len(come), at))
+            gone.append(np.full(len(come), term))
+            new.append(np.where(np.isin(come, own[at]), len(words), come))
+    joined = [np.concatenate([np.empty(0, np.int64), *part]).astype(np.int64) for part in (of, gone, new)]
+    labels_of = np.asarray(got.column("label").to_pylist(), float)
+    return solve(words, x, labels_of, Swaps(Sparse(own, len(words)), *joined))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,7 +1,11 @@
+import math
 import random
+import re
+import time
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from playline.llm import toxicity
 from playline.llm.toxicity import fit, score, tokens, train, word_hash
@@ -93,3 +97,78 @@ def test_edge_cases(spark):
     none = fit(docs, labels.limit(0))
     assert {r.predicted for r in score(docs, none).collect()} == {0}
     assert score(docs.limit(0), none).collect() == []
+
+
+def plain_words(text):
+    return re.findall("[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def plain_pairs(text):
+    """Sentences with an identity term, each before and after a swap, from the text alone."""
+    groups = [set(line) for line in toxicity.IDENTITY_TERMS]
+    out = []
+    for sentence in re.split(r"[.!?\n]", text):
+        own = set(plain_words(sentence))
+        for line in groups:
+            for term in own & line:
+                out += [(own, own - {term} | {other}) for other in line - {term}]
+    return out
+
+
+def hashed(found):
+    return np.array(sorted(word_hash(w) for w in found), np.uint64)
+
+
+def test_score_equals_plain_python(spark):
+    docs, labels = corpus(spark, 800)
+    model = fit(docs, labels)
+    weights = dict(zip(model.words.tolist(), model.weights.tolist()))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for row in score(docs, model).collect():
+        own = set(plain_words(texts[row.doc_id]))
+        margin = model.bias + sum(weights.get(word_hash(w), 0.0) for w in own)
+        assert abs(row.score - 1 / (1 + math.exp(-margin))) < 1e-9
+
+
+def test_fit_equals_a_fit_on_plain_lists(spark):
+    pick = random.Random(2)
+    rows = []
+    for i in range(400):
+        words = [f"w{pick.randrange(80)}" for _ in range(30)]
+        bad = pick.random() < 0.3
+        words[3] = "vile" if bad else "Muslim" if pick.random() < 0.4 else "calm"
+        words[7] += pick.choice([".", "!", "\n"])
+        words[9] = pick.choice(["christian", "x", "gay"])
+        rows.append((i, " ".join(words), int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    mine = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    pairs = [(hashed(a), hashed(b)) for _, text, _ in mine for a, b in plain_pairs(text)]
+    plain = train([hashed(set(plain_words(t))) for _, t, _ in mine], [m for *_, m in mine], pairs)
+    assert pairs and model.words.tolist() == plain.words.tolist()
+    assert np.allclose(model.weights, plain.weights, atol=1e-6)
+    assert abs(model.bias - plain.bias) < 1e-6
+
+
+def test_a_page_without_a_full_stop(spark):
+    long = "muslim girls and women " * 60_000
+    docs, labels = corpus(spark, 200)
+    docs = docs.select("doc_id", "text").union(
+        spark.createDataFrame([(1000, long)], "doc_id long, text string")
+    )
+    marks = labels.select("doc_id", "toxic").union(
+        spark.createDataFrame([(1000, 0)], "doc_id long, toxic int")
+    )
+    start = time.monotonic()
+    assert len(fit(docs, marks).words)
+    assert time.monotonic() - start < 60
+
+
+def test_the_fit_takes_bounded_bytes(spark):
+    rows = [(i, "x" * 100, i % 2) for i in range(100)] + [(5000, "y" * 5000, 1)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label long")
+    sample = docs.select("doc_id", "label", F.length("text").cast("long").alias("bytes"))
+    got = toxicity.within(sample, 2000).collect()
+    order = [r.doc_id for r in sample.orderBy(F.xxhash64("doc_id")).collect() if r.doc_id < 5000]
+    assert sorted(r.doc_id for r in got) == sorted(order[:20])
+    assert len(toxicity.within(sample, 10**6).collect()) == 103
