@@ -69,6 +69,12 @@ AVERAGE = """
   CAST(round(CAST(CAST(avg(percent_viewed) AS VARCHAR) AS DECIMAL(38,18)), 6) AS DOUBLE)
     AS avg_percent_viewed"""
 
+RANGE_REJECTS = """
+  SELECT event_key, 'no usable received_at' AS kept_as
+  FROM ev WHERE source IN ('error', 'signup')
+  UNION ALL SELECT event_key, 'stored' FROM ev
+  WHERE source NOT IN ('error', 'signup') AND received_at <= TIMESTAMP '2024-01-16'"""
+
 BODIES = {
     "dim_media": "SELECT media_id, title, url, duration, hashed_id, DATE '2024-01-30' AS load_date FROM media",
     "fact_events": LOADED,
@@ -150,11 +156,9 @@ BODIES = {
                CASE WHEN source = 'click' THEN 'unusable value'
                     ELSE 'no usable received_at' END AS reason
         FROM ev WHERE source IN ('error', 'signup', 'click')""",
-    "range_load_rejects": """
-        SELECT event_key, 'no usable received_at' AS kept_as
-        FROM ev WHERE source IN ('error', 'signup')
-        UNION ALL SELECT event_key, 'stored' FROM ev
-        WHERE source NOT IN ('error', 'signup') AND received_at <= TIMESTAMP '2024-01-16'""",
+    "range_load_rejects": RANGE_REJECTS,
+    "range_load_indexed": RANGE_REJECTS,
+    "landed_event_arrays": f"SELECT {EVENT} FROM ev",
     "stream_dedup_rejects": """
         SELECT event_key, 'no usable received_at' AS reason
         FROM ev WHERE source IN ('error', 'signup')""",

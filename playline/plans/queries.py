@@ -303,6 +303,16 @@ def landed_events(spark, sf):
     return project_events(events).transform(_zoneless)
 
 
+@query
+def landed_event_arrays(spark, sf):
+    """Events as array files of some thousand objects on one line, read block by block."""
+    path = scratch_path(spark, "arrays")
+    events = project_events(raw_events(spark, sf, country=True)).transform(_instants)
+    numbered = events.withColumn("page", F.expr("CAST(event_key AS BIGINT) DIV 5000"))
+    _page_folders(numbered, path, events.columns)
+    return project_events(read_events(spark, path, "blocks")).transform(_zoneless)
+
+
 @query
 def landed_media(spark, sf):
     raw = raw_media(spark, sf)
@@ -331,7 +341,7 @@ def landed_pages(spark, sf):
 
 
 def _page_folders(numbered, path, columns):
-    """Each page as one JSON array in a folder of its own (at most 100 objects)."""
+    """Each page as one JSON array in a folder of its own (at most 5000 objects)."""
     record = F.struct(*columns)
     arrays = numbered.groupBy("page").agg(
         F.to_json(F.collect_list(record), {"timestampFormat": schemas.JSON_TIME}).alias("value")
@@ -603,12 +613,11 @@ def _dirty_text(spark, sf):
     return events.withColumn("received_at", F.coalesce(time, F.lit("oops"))).drop("_corrupt_record")
 
 
-@query
-def range_load_rejects(spark, sf):
-    """Events a range load stores or rejects: those without a time are in no range, but kept."""
+def _range_with_rejects(spark, sf, time_ranges=None):
     root = scratch_path(spark, "range-rejects")
     log = f"{root}/landed_batches"
-    land_and_record(_dirty_text(spark, sf), f"{root}/{EVENTS_DIR}", RUN_TS, log, "events")
+    folder, events = f"{root}/{EVENTS_DIR}", _dirty_text(spark, sf)
+    land_and_record(events, folder, RUN_TS, log, "events", time_ranges=time_ranges)
     end = dt.datetime(2024, 1, 16)
     build_fact_events(spark, root, root, RUN_DATE, to_ts=end, batches=log)
     facts = _stored(spark, root, "fact_events", schemas.FACT_EVENTS)
@@ -619,6 +628,18 @@ def range_load_rejects(spark, sf):
     )
 
 
+@query
+def range_load_rejects(spark, sf):
+    """Events a range load stores or rejects: those without a time are in no range, but kept."""
+    return _range_with_rejects(spark, sf)
+
+
+@query
+def range_load_indexed(spark, sf):
+    """The same of a batch landed in ranges of time, of which only the files needed are read."""
+    return _range_with_rejects(spark, sf, time_ranges=8)
+
+
 @query
 def stream_dedup_rejects(spark, sf):
     """Rejects of the deduplicating stream."""

@@ -39,6 +39,11 @@ LANDED_BATCHES = (
     "dataset STRING, path STRING, run_ts STRING, rows BIGINT, first_at TIMESTAMP, "
     "last_at TIMESTAMP, timeless BIGINT"
 )
+# The same for each file of a batch that was landed in ranges of time.
+LANDED_FILES = (
+    "dataset STRING, path STRING, file STRING, rows BIGINT, first_at TIMESTAMP, "
+    "last_at TIMESTAMP, timeless BIGINT"
+)
 LOADED_BATCHES = "dataset STRING, path STRING, load_date DATE"
 AUDIT = "step STRING, run_date DATE, status STRING, rows BIGINT, finished_at TIMESTAMP"
 # Of a micro-batch: the raw rows, those too late for the state (none, as long as it goes by the

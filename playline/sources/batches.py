@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from playline import schemas
 from playline.operators.filters import as_instant
+from playline.sinks.landing import files_log
 from playline.sinks.tables import read_table
 from playline.sources.raw import ARRAY_FILES
 
@@ -62,17 +63,26 @@ def _paths(batches: DataFrame) -> list[str]:
 def overlapping_batches(
     spark: SparkSession, path: str, dataset: str, after=None, until=None
 ) -> list[str]:
-    """Folders of the published batches that can hold events after the one time and not after the
-    other, or events without a usable time. Batches of unknown times count in."""
+    """What of the published batches can hold events after the one time and not after the other, or
+    events without a usable time: folders, or single files of those batches whose files were recorded
+    and do not all count. Batches of unknown times count in."""
     inside = F.lit(True)
     if after is not None:
         inside &= F.col("last_at") > as_instant(after)
     if until is not None:
         inside &= F.col("first_at") <= as_instant(until)
-    unknown = F.col("timeless").isNull()
+    matters = F.col("timeless").isNull() | (F.col("timeless") > 0) | F.coalesce(inside, F.lit(False))
     mine = (F.col("dataset") == dataset) & (F.col("rows") > 0)
-    chosen = mine & (unknown | (F.col("timeless") > 0) | inside)
-    return _paths(landed_batches(spark, path).where(chosen))
+    batches = landed_batches(spark, path).where(mine & matters).select("path").distinct()
+    files = read_table(spark, files_log(path), schemas.LANDED_FILES).where(mine)
+    listed = files.groupBy("path").agg(
+        F.bool_and(matters).alias("all"),
+        F.collect_list(F.when(matters, F.col("file"))).alias("files"),
+    )
+    folder = F.col("all").isNull() | F.col("all")
+    chosen = F.when(folder, F.array("path")).otherwise(F.col("files"))
+    found = batches.join(listed, "path", "left").select(F.explode(chosen).alias("path"))
+    return [row.path for row in found.collect()]
 
 
 def unloaded_batches(spark: SparkSession, path: str, dataset: str, loaded: str) -> list[str]:

@@ -1,6 +1,7 @@
-"""Raw files. Two layouts are read:
+"""Raw files. Three layouts are read:
 
 * ``array``: one pretty-printed JSON array per file. Such a file is parsed by one task.
+* ``blocks``: the same files, each by many tasks (``sources.arrays``), for files of many blocks.
 * ``lines``: one JSON object per line, as ``sinks.landing.land_raw`` writes it. These split.
 
 A broken array file raises: it must not look like an empty batch. A broken line of events is
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from playline import schemas
 from playline.functions import parse_number, parse_time
+from playline.sources.arrays import array_objects, read_arrays
 
 CORRUPT = "_corrupt_record"
 # Array files of a folder, compressed ones too.
@@ -24,6 +26,9 @@ ARRAY_FILES = "*.{json,json.gz,json.bz2}"
 
 
 def layout_of(path: str) -> str:
+    # Files of a landed batch have the name of an array file, but hold lines.
+    if "/run_ts=" in path:
+        return "lines"
     return "array" if path.rstrip("/").endswith((*ARRAY_KINDS, ARRAY_FILES)) else "lines"
 
 
@@ -35,6 +40,8 @@ def _json_options(layout: str) -> dict:
 
 def read_media(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
     """One media snapshot. Any broken record raises, since the snapshot replaces the dimension."""
+    if layout == "blocks":
+        return parse_media(read_arrays(spark, path, schemas.RAW_MEDIA))
     options = _json_options(layout or layout_of(path))
     return parse_media(
         spark.read.schema(schemas.RAW_MEDIA).options(**options, mode="FAILFAST").json(path)
@@ -97,6 +104,8 @@ def read_events(
         if mine:
             schema, options = event_options(chosen)
             parts.append(parse_events(spark.read.schema(schema).options(**options).json(mine)))
+    if layout == "blocks" and paths:
+        parts.append(parse_events(read_arrays(spark, paths, schemas.RAW_EVENTS)))
     if not parts:
         raise ValueError("no path of events, or an unknown layout")
     return reduce(DataFrame.unionByName, parts)
@@ -139,6 +148,8 @@ def read_pages(
 
 def read_engagement(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
     """Engagement envelopes: ``media_id`` and the opaque object as VARIANT."""
+    if layout == "blocks":
+        return read_arrays(spark, path, schemas.RAW_ENGAGEMENT)
     return (
         spark.read.schema(schemas.RAW_ENGAGEMENT)
         .options(**_json_options(layout or layout_of(path)), mode="FAILFAST")
@@ -152,6 +163,8 @@ def read_visitors(spark: SparkSession, path: str, layout: str | None = None) ->
         return spark.read.option("singleVariantColumn", "visitor").option(
             "mode", "FAILFAST"
         ).json(path)
+    if layout == "blocks":
+        return array_objects(spark, path).select(F.parse_json("object").alias("visitor"))
     text = spark.read.text(path, wholetext=True)
     visitors = F.from_json("value", "ARRAY<VARIANT>", {"mode": "FAILFAST"})
     return text.select(F.explode(visitors).alias("visitor"))
