@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playline.llm import bpe, chat_format, decontaminate, importance, secret_scan
+from playline.llm import bpe, chat_format, decontaminate, importance, oracles, secret_scan
 from playline.llm.collocations import ORACLE, best_of_each_language, collocations
 from playline.llm.jaccard import similar
 from playline.llm.licenses import licenses
@@ -135,7 +135,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": oracles.SUFFIX_DEDUP,
     "op2_decontamination": decontaminate.ORACLE,
+    "op3_repetition": oracles.REPETITION,
+    "op4_jaccard_join": oracles.JACCARD_JOIN,
+    "op7_warc": oracles.WARC,
     "op11_collocations": ORACLE,
     "op12_importance": importance.ORACLE,
     "op13_chat_format": chat_format.ORACLE,
