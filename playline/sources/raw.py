@@ -117,15 +117,19 @@ def read_pages(
     layout: str = "array",
     dataset: str = "events",
     folders: str | None = None,
+    numbers: str | None = None,
 ) -> DataFrame:
     """Events, media or visitors landed page by page in folders ``…/page=N/``.
 
     ``folders`` names and types all folders, which become columns; nothing is inferred, so that
     text such as ``media=0012`` stays as it is. By default, events lie in ``media=…/page=N/`` and
-    the others in ``page=N/``.
+    the others in ``page=N/``. Where many pages of events or media share a folder, each record holds
+    its page, and ``numbers`` names and types that field.
     """
     folders = folders or ("media STRING, page BIGINT" if dataset == "events" else "page BIGINT")
     if dataset == "visitors":
+        if numbers:
+            raise ValueError("visitors have no fixed fields, and so no numbers of pages")
         pages = read_visitors(spark, path, layout)
         # Such pages have no fixed schema to put the folders in; this is the file's own path.
         names = [column.split()[0] for column in folders.split(", ")]
@@ -142,7 +146,8 @@ def read_pages(
         schema, options = event_options(layout)
     else:
         raise ValueError(f"dataset must be events, media or visitors, not {dataset!r}")
-    raw = spark.read.schema(f"{schema}, {folders}").options(**options).json(path)
+    fields = ", ".join(filter(None, [schema, numbers, folders]))
+    raw = spark.read.schema(fields).options(**options).json(path)
     return parse_media(raw) if dataset == "media" else parse_events(raw)
 
 

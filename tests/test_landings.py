@@ -116,3 +116,11 @@ def test_many_pages_share_an_array_file(spark, monkeypatch, tmp_path):
     assert loaded.count() == loaded.select("event_key").distinct().count() == 3000
     files = list((tmp_path / "scratch").glob("playline/pointer-*/raw_data/events/*/page=*"))
     assert len(files) == 1
+
+
+def test_many_pages_share_a_folder(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path / "scratch"))
+    sf = tables(spark, tmp_path, 3000)
+    found = QUERIES["landed_pages"](spark, sf).groupBy("source", "page").count().collect()
+    assert sorted(map(tuple, found)) == [(s, n, 100) for s in ("click", "view") for n in range(1, 16)]
+    assert len(list((tmp_path / "scratch").glob("playline/page-files-*/source=*/*"))) == 2

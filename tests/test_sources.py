@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,6 +218,21 @@ def test_pages_from_folders(spark, raw):
     assert sorted(tuple(r) for r in rows) == [("h1", 1, "a"), ("h1", 1, "b"), ("h1", 2, "c")]
 
 
+def test_pages_that_share_a_folder(spark, raw):
+    lines = [json.dumps({**event(key), "page": page}) for key, page in (("a", 1), ("b", 2), ("c", 2))]
+    raw.write("pages/media=h1/pages=0/a.json", "\n".join([*lines, "{broken"]))
+    pages = read_pages(
+        spark, str(raw.root / "pages"), "lines", folders="media STRING, pages BIGINT",
+        numbers="page BIGINT",
+    )
+    rows = pages.select("media", "page", "event_key", F.col("_corrupt_record").isNotNull()).collect()
+    assert sorted(map(tuple, rows), key=repr) == [
+        ("h1", 1, "a", False), ("h1", 2, "b", False), ("h1", 2, "c", False), ("h1", None, None, True)
+    ]
+    with pytest.raises(ValueError):
+        read_pages(spark, "/none", "lines", "visitors", numbers="page BIGINT")
+
+
 def test_folder_values_keep_their_text(spark, raw):
     raw.write("pages/media=0012345678/page=01/a.json", [event("a")])
     pages = read_pages(spark, str(raw.root / "pages"))
