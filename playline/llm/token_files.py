@@ -19,13 +19,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playline.llm.pretokens import Known, spell
-from playline.llm.spans import id_and_text
+from playline.llm.spans import batches_of, id_and_text
 from playline.session import stage
 
 #: Ids after which a block ends; a longer document has a block of its own.
 BLOCK_IDS = 1 << 16
 #: Encoded pre-tokens that a task remembers.
 REMEMBERED = 2_000_000
+#: Documents that a task takes at a time.
+DOCUMENTS = 1000
 #: For every control byte, the bytes of its four values.
 WIDTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
@@ -110,9 +112,16 @@ def write_tokens(
     side in the order of their ids. An empty table writes no block. Other columns are not read.
 
     The texts are encoded once and staged as ids; only ids are dealt by ranges of ``doc_id``. What
-    reaches the driver has a row for each id of the vocabulary or each written partition.
+    reaches the driver has a row for each id of the vocabulary or each written partition. A task holds
+    ``DOCUMENTS`` texts and their ids at a time.
     """
-    spark = docs.sparkSession
+    with batches_of(docs.sparkSession, DOCUMENTS):
+        write_blocks(id_and_text(docs, key, text), definition, path, end_id)
+
+
+def write_blocks(texts: DataFrame, definition: str, path: str, end_id: int) -> None:
+    """``write_tokens`` for ``doc_id`` and the text in UTF-8."""
+    spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(
         (hashlib.sha256(definition.encode()).hexdigest(), definition)
     )
@@ -133,7 +142,7 @@ def write_tokens(
             )
 
     encoded = stage(
-        id_and_text(docs, key, text).mapInArrow(run, "doc_id long, width int, ids binary"),
+        texts.mapInArrow(run, "doc_id long, width int, ids binary"),
         "token-ids",
     )
 
@@ -235,7 +244,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         order, offsets = shared.value
         for batch in batches:
-            for b in batch.to_pylist():
+            for b in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
                 lengths = np.array(b["lengths"], np.int64)
                 ids = order[unpack(b["control"], b["data"], int(lengths.sum()))].astype("<u4")
                 stops = np.cumsum(lengths)

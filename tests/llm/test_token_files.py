@@ -6,6 +6,7 @@ import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from playline.llm import token_files
 from playline.llm.queries import op5_token_files
 from playline.llm.token_files import pack, read_tokens, unpack, write_tokens
 
@@ -58,6 +59,21 @@ def test_files_equal_the_library(spark, tmp_path, definition):
     assert read_tokens(spark, str(tmp_path / "b")).collect() == []
 
 
+def test_tasks_take_few_texts_at_a_time(spark, tmp_path, definition, monkeypatch):
+    name, stage, taken = "spark.sql.execution.arrow.maxRecordsPerBatch", token_files.stage, []
+
+    def noted(df, folder):
+        taken.append(int(spark.conf.get(name)))
+        return stage(df, folder)
+
+    monkeypatch.setattr(token_files, "stage", noted)
+    before = spark.conf.get(name)
+    frame = spark.range(3000).selectExpr("id AS doc_id", "concat('row ', id) AS text").coalesce(1)
+    write_tokens(frame, definition, str(tmp_path / "a"), 2)
+    assert taken == [token_files.DOCUMENTS] and spark.conf.get(name) == before
+    assert read_tokens(spark, str(tmp_path / "a")).count() == 3000
+
+
 def test_query(spark, definition):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
