@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from playline.llm.pretokens import Known, Pieces, spell
-from playline.llm.spans import INVERSE, U64, char_values, id_and_text, mix, span_hashes
+from playline.llm.spans import INVERSE, U64, char_values, id_and_text, mix, parts_of, span_hashes
 
 #: Merged pre-tokens that a task remembers; beyond it, it begins anew.
 REMEMBERED = 2_000_000
@@ -189,7 +189,7 @@ def encode(
 
     def run(batches):
         own = encoder(shared)
-        for batch in batches:
+        for batch in parts_of(batches):
             texts = [(t or b"").decode() for t in batch.column(1).to_pylist()]
             found = own.encode(texts)
             places = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
@@ -209,7 +209,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
     def run(batches):
         own = encoder(shared)
-        for batch in batches:
+        for batch in parts_of(batches):
             found = [own.decode(np.array(x or [], np.int64)) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.binary())], ["doc_id", "utf8"]
@@ -230,7 +230,7 @@ def digests(
     def run(batches):
         own = encoder(shared)
         decimal = [b"%d " % i for i in range(len(own.tokens))]
-        for batch in batches:
+        for batch in parts_of(batches):
             texts = [(t or b"").decode() for t in batch.column(1).to_pylist()]
             out = []
             for ids in own.encode(texts):

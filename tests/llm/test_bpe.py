@@ -2,10 +2,12 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import tiktoken
 
+from playline.llm import bpe
 from playline.llm.bpe import Encoder, PerfectHash, decode, digests, encode, load_ranks
 from playline.llm.spans import mix
 
@@ -74,3 +76,27 @@ def test_frames(spark, ranks, tokens):
             for i, t in rows
         )
     assert digests(frame.limit(0), ranks).collect() == []
+
+
+def test_a_worker_holds_the_values_of_few_rows(spark, monkeypatch):
+    ranks = {bytes([b]): b for b in range(256)} | {b"er": 256}
+    own, taken = bpe.Encoder(ranks), []
+
+    class Noted:
+        tokens, decode = own.tokens, staticmethod(own.decode)
+
+        def encode(self, texts):
+            taken.append(len(texts))
+            return own.encode(texts)
+
+    frame = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    monkeypatch.setattr(bpe, "encoder", lambda shared: Noted())
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, run, schema: run)
+    rows = pa.RecordBatch.from_pydict(
+        {"doc_id": list(range(2500)), "utf8": [f"over {i}".encode() for i in range(2500)]}
+    )
+    for operator in (bpe.encode, bpe.digests):
+        parts = list(operator(frame, ranks)(iter([rows])))
+        assert taken == [1000, 1000, 500]
+        assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(2500))
+        taken.clear()
