@@ -16,7 +16,10 @@ WINDOW = 13
 GRAM = 5
 #: Bytes of the benchmark's fingerprints, with the words around them, up to which they are broadcast.
 BROADCAST_BYTES = 8 << 20
+#: Bytes of the suspects' row keys, at ``KEY_BYTES`` each, up to which they are broadcast.
+SUSPECT_BYTES, KEY_BYTES = 32 << 20, 64
 EMPTY = "array<bigint>"
+NO_HITS = "row_key string, n_words int, n_hit int, items array<string>"
 
 
 def gram_of(span: int) -> int:
@@ -76,17 +79,33 @@ def decontaminate(
     the empty string. Rows of an equal key and text get equal results, each its own row; a null key
     stays null. With an empty benchmark nothing is hit. Other columns are not read.
 
-    Documents are winnowed in one pass and staged as fingerprints; those that share one with the
-    benchmark are read again, and each shared hash is extended to the windows around it by comparing
-    words. The benchmark's side is broadcast only below a measured size.
+    Documents are winnowed in one pass, which hands on only the keys of those that share a fingerprint
+    with the benchmark. These texts alone are split into words again, and each shared hash is extended to
+    the windows around it by comparing words. A last pass counts the words of all texts. No text is
+    shuffled or staged but the suspects', and the benchmark's side and the keys are broadcast only below
+    a measured size; with more keys the texts are shuffled once.
     """
-    return judged(docs, benchmark, key, text, item_key, item_text).drop("row_key")
+    hits = hit_texts(docs, benchmark, key, text, item_key, item_text)
+    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
+    counted = identified(docs, key, text).withColumn("n_words", F.size("words").cast("long")).drop("words")
+    return (
+        counted.join(hits.drop("n_words"), "row_key", "left")
+        .withColumn("n_hit", n_hit)
+        .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+        .withColumn("n_items", F.size("items").cast("long"))
+        .withColumn("contaminated", contaminated())
+        .select("doc_id", "n_words", "n_hit", "n_items", "items", "contaminated")
+    )
 
 
-def judged(
+def contaminated() -> Column:
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def hit_texts(
     docs: DataFrame, benchmark: DataFrame, key: str, text: str, item_key: str, item_text: str
 ) -> DataFrame:
-    """``decontaminate`` with the row key of ``identified`` in front."""
+    """``row_key, n_words, n_hit, items`` of the texts in which a window occurs, once each."""
     items = stage(windows_of(benchmark, item_key, item_text), "benchmark-items")
     # At most 13 lengths, whatever the size of the benchmark.
     spans = sorted(r.span for r in items.select("span").distinct().collect())
@@ -115,61 +134,40 @@ def judged(
             F.explode_outer(found).alias("m"),
         ).select("item", "span", "item_last", "m.*")
 
-    tokenized = identified(docs, key, text)
-    marked = tokenized
+    if not spans:
+        return docs.sparkSession.createDataFrame([], NO_HITS)
+    marked = identified(docs, key, text)
     for span in spans:
         marked = fingerprints(marked, span).withColumnRenamed("marks", f"marks_{span}")
-    every = [F.col(f"marks_{span}") for span in spans] or [F.array().cast(EMPTY)]
-    staged = stage(
-        marked.select(
-            "doc_id", "row_key", F.size("words").alias("n_words"), F.concat(*every).alias("marks")
-        ),
-        "fingerprints",
-    )
-    names = ["row_key", "doc_id", "n_words", "n_hit", "n_items", "items", "contaminated"]
-    none = F.array().cast("array<string>")
-    if not spans:
-        return staged.select(
-            "row_key",
-            "doc_id",
-            F.col("n_words").cast("long"),
-            F.lit(0).cast("long").alias("n_hit"),
-            F.lit(0).cast("long").alias("n_items"),
-            none.alias("items"),
-            F.lit(False).alias("contaminated"),
-        )
+    every = F.concat(*[F.col(f"marks_{span}") for span in spans])
     marks = stage(reduce(DataFrame.union, [item_marks(s) for s in spans]), "item-marks")
     near = F.octet_length(F.array_join("item_near", "")) + F.size("item_near") * 24 + 96
     sizes = marks.agg(F.sum(near + F.octet_length("item")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
 
-    def small(df: DataFrame, size: int) -> DataFrame:
-        return F.broadcast(df) if size <= BROADCAST_BYTES else df
+    def small(df: DataFrame, size: int, most: int) -> DataFrame:
+        return F.broadcast(df) if size <= most else df
 
     shared = marks.select("mark").distinct()
     suspects = (
-        staged.select("row_key", F.explode_outer("marks").alias("mark"))
-        .join(small(shared, 16 * sizes.n), "mark", "left_semi")
+        marked.select("row_key", F.explode_outer(every).alias("mark"))
+        .join(small(shared, 16 * sizes.n, BROADCAST_BYTES), "mark", "left_semi")
         .select("row_key")
         .distinct()
     )
-    again = stage(tokenized.join(suspects, "row_key", "left_semi").distinct(), "suspects")
+    suspects = stage(suspects, "suspect-keys")
+    keys = small(suspects, KEY_BYTES * suspects.count(), SUSPECT_BYTES)
+    body = F.col(text).cast("string")
+    again = docs.select(row_key(key, text), body.alias("body")).join(keys, "row_key", "left_semi")
+    again = stage(again.distinct().select("row_key", words(F.col("body")).alias("words")), "suspects")
     own = {s: marks.where(F.col("span") == s).drop("span") for s in spans}
-    found = reduce(DataFrame.union, [extend(again, small(own[s], sizes.bytes), s) for s in spans])
+    found = reduce(DataFrame.union, [extend(again, small(own[s], sizes.bytes, BROADCAST_BYTES), s) for s in spans])
     # At most one entry a word and length, and one an item, so no group outgrows its document.
     hits = found.groupBy("row_key").agg(
         F.collect_set("reach").alias("reaches"), F.array_sort(F.collect_set("item")).alias("items")
     )
-    hits = hits.select("row_key", "items", covered(F.array_sort("reaches")).alias("n_hit"))
-    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    result = staged.drop("marks").join(hits, "row_key", "left")
-    return (
-        result.withColumn("n_words", F.col("n_words").cast("long"))
-        .withColumn("n_hit", n_hit)
-        .withColumn("items", F.coalesce("items", none))
-        .withColumn("n_items", F.size("items").cast("long"))
-        .withColumn("contaminated", (n_hit > 0) & (20 * n_hit >= F.col("n_words")))
-        .select(names)
-    )
+    hits = hits.select("row_key", covered(F.array_sort("reaches")).alias("n_hit"), "items")
+    n_words = again.select("row_key", F.size("words").alias("n_words"))
+    return n_words.join(hits, "row_key")
 
 
 def clean(
@@ -185,8 +183,8 @@ def clean(
     Null, empty and wordless texts stay; repeated rows stay or go together; an empty table, or an empty
     benchmark, leaves the rows as they are. Columns may have any names. Texts are read whole.
     """
-    found = judged(docs, benchmark, key, text, item_key, item_text)
-    bad = found.where("contaminated").select("row_key").distinct()
+    hits = hit_texts(docs, benchmark, key, text, item_key, item_text)
+    bad = hits.where(contaminated()).select("row_key")
     rows = docs.select(packed(docs), row_key(key, text))
     return unpacked(rows.join(bad, "row_key", "left_anti"), docs.columns)
 

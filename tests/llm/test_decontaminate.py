@@ -73,3 +73,26 @@ def test_empty_tables(spark):
     assert decontaminate(left.limit(0), right).collect() == []
     got = sorted(map(tuple, decontaminate(left, right.limit(0)).collect()), key=str)
     assert got == brute(docs[:5], [])
+
+
+@pytest.mark.parametrize("limit", [1 << 20, -1])
+def test_only_suspects_are_split_into_words_again(spark, monkeypatch, settings, limit):
+    monkeypatch.setattr(module, "SUSPECT_BYTES", limit, raising=False)
+    settings(spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__enabled="false")
+    stage, plans = module.stage, {}
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(module, "stage", noted)
+    docs, items = sample()
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    right = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(map(tuple, decontaminate(left, right).collect()), key=str)
+    assert got == brute(docs, items)
+    # The join reads keys and raw texts, not words, and shuffles no text if the keys are few.
+    join, below = re.split(r"(?=\w+Join)", plans["suspects"], maxsplit=1)[1].split("\n", 1)
+    assert "words" in plans["suspects"] and "words" not in below and "split(" not in below
+    assert join.startswith("BroadcastHashJoin" if limit > 0 else "SortMergeJoin")
+    assert ("Exchange hashpartitioning" in below) == (limit < 0)
