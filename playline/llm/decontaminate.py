@@ -160,7 +160,8 @@ def hit_texts(
     again = docs.select(row_key(key, text), body.alias("body")).join(keys, "row_key", "left_semi")
     again = stage(again.distinct().select("row_key", words(F.col("body")).alias("words")), "suspects")
     own = {s: marks.where(F.col("span") == s).drop("span") for s in spans}
-    found = reduce(DataFrame.union, [extend(again, small(own[s], sizes.bytes, BROADCAST_BYTES), s) for s in spans])
+    around = {s: small(own[s], sizes.bytes, BROADCAST_BYTES) for s in spans}
+    found = reduce(DataFrame.union, [extend(again, around[s], s) for s in spans])
     # At most one entry a word and length, and one an item, so no group outgrows its document.
     hits = found.groupBy("row_key").agg(
         F.collect_set("reach").alias("reaches"), F.array_sort(F.collect_set("item")).alias("items")
